@@ -7,6 +7,8 @@ Reports that need rulings and amounts read the core alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,66 +65,104 @@ def _ledger_amounts() -> dict[str, Column]:
     }
 
 
-def live_core(erp: Erp, portfolio: Portfolio, window: LiveWindow) -> DataFrame:
+# Published columns each optional side of the row is needed for.
+_VALUED = {"valor_a_receber", "valor_inadimplencia", "valor_juros_inadimplencia", "valor_multa_inadimplencia", *COUNT_COLUMNS}
+_OVERDUE = {"statuvenda", "inad_junho", "dias_atraso", "status_sorteio", "motivo", "aptidao_casas", "aptidao_sorteio"}
+_NEW_SIDE = {"cessao", "venda_origem_cessao", "data_cessao"}
+_PREVIOUS_MONTH = {"pagou_parcela_mes_anterior"}
+_LEGAL = {"juridico_ativo", "juridico_passivo"}
+LIVE_COLUMNS = [*CORE_COLUMNS, *COUNT_COLUMNS, "valor_a_receber"]
+CLOSE_COLUMNS = [*CORE_COLUMNS, "distrato_apos_fechamento", *COUNT_COLUMNS, "valor_a_receber"]
+
+
+def _join_parts(members: DataFrame, parts: list[tuple[bool, Callable[[], DataFrame]]]) -> DataFrame:
+    for needed, build in parts:
+        if needed:
+            members = members.join(build(), SALE_KEY, "left")
+    return members
+
+
+def _rule(df: DataFrame, rulings: dict[str, Column], columns: list[str]) -> DataFrame:
+    return df.withColumns({name: col for name, col in rulings.items() if name in columns}).select(*columns)
+
+
+def live_core(
+    erp: Erp, portfolio: Portfolio, window: LiveWindow, columns: list[str] | None = None
+) -> DataFrame:
+    """Members with amounts and rulings. A side no asked-for column needs is not joined."""
+    columns = columns or LIVE_COLUMNS
+    wanted = set(columns)
     ceded = C.cession_old_side(erp.history, portfolio)
     receipts = L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.end, window.month_start)
     open_rows = L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start)
-    valuation = L.valuation_by_instalment(erp.valuations, portfolio)
 
-    members = C.keep_members(_with_receipts(_sales(erp, portfolio), receipts).join(ceded, SALE_KEY, "left"), portfolio)
-    joined = (
-        C.without_cancelled(members, erp.cancellations)
-        .join(C.cession_new_side(erp.history, portfolio), SALE_KEY, "left")
-        .join(L.receivables_by_sale(open_rows, valuation, portfolio, window.as_of), SALE_KEY, "left")
-        .join(
-            L.previous_month_open(erp.receivables, portfolio, window.previous_month_start, window.month_start),
-            SALE_KEY,
-            "left",
-        )
-        .join(C.legal_by_sale(erp.occurrences), SALE_KEY, "left")
-        .withColumn("paga_depois", F.lit(None).cast("int"))
+    def valued() -> DataFrame:
+        valuation = L.valuation_by_instalment(erp.valuations, portfolio)
+        return L.receivables_by_sale(open_rows, valuation, portfolio, window.as_of)
+
+    def previous_month() -> DataFrame:
+        return L.previous_month_open(erp.receivables, portfolio, window.previous_month_start, window.month_start)
+
+    candidates = _with_receipts(_sales(erp, portfolio), receipts).join(ceded, SALE_KEY, "left")
+    members = C.without_cancelled(C.keep_members(candidates, portfolio), erp.cancellations)
+    joined = _join_parts(
+        members,
+        [
+            (bool(wanted & _VALUED), valued),
+            (not wanted & _VALUED and bool(wanted & _OVERDUE), lambda: L.overdue_by_sale(open_rows, window.as_of)),
+            (bool(wanted & _NEW_SIDE), lambda: C.cession_new_side(erp.history, portfolio)),
+            (bool(wanted & _PREVIOUS_MONTH), previous_month),
+            (bool(wanted & _LEGAL), lambda: C.legal_by_sale(erp.occurrences)),
+        ],
     )
     rulings = {**_ledger_amounts(), **R.live_ruling(), **R.ledger_columns(), **R.cession_columns(), **R.legal_columns()}
-    return joined.withColumns(rulings).select(*CORE_COLUMNS, *COUNT_COLUMNS, "valor_a_receber")
+    return _rule(joined.withColumn("paga_depois", F.lit(None).cast("int")), rulings, columns)
 
 
-def close_core(erp: Erp, portfolio: Portfolio, window: CloseWindow) -> DataFrame:
+def close_core(
+    erp: Erp, portfolio: Portfolio, window: CloseWindow, columns: list[str] | None = None
+) -> DataFrame:
     """As ``live_core`` at a closed month: paid-late rescue, late payers, cancellations."""
+    columns = columns or CLOSE_COLUMNS
+    wanted = set(columns)
     ceded = C.cession_old_side(erp.history, portfolio)
     receipts = L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.cutoff, window.month_start)
     paid = L.paid_before(erp.receipts, portfolio, window.cutoff)
     open_rows = L.drop_paid(L.open_by_instalment(erp.receivables, portfolio, window.cutoff, window.start), paid)
-    valuation = L.valuation_by_instalment(erp.valuations, portfolio)
-    launch = L.due_before_paid_after(erp.receipts, portfolio, window.start, "_largada")
+
+    def valued() -> DataFrame:
+        valuation = L.valuation_by_instalment(erp.valuations, portfolio)
+        return L.receivables_by_sale(open_rows, valuation, portfolio, window.last_day)
+
+    def previous_month() -> DataFrame:
+        first, following = window.previous_month_start, window.month_start
+        return L.previous_month_open_asof(erp.receivables, erp.receipts, portfolio, first, following, window.cutoff)
+
+    def late_payers() -> DataFrame:
+        return L.due_before_paid_after(erp.receipts, portfolio, window.cutoff, "paga_depois")
+
+    def overdue_at_launch() -> DataFrame:
+        return L.due_before_paid_after(erp.receipts, portfolio, window.start, "pagou_vencida_antes")
 
     candidates = (
-        _with_receipts(_sales(erp, portfolio), receipts)
+        _with_receipts(_sales(erp, portfolio), receipts.drop("pagou_vencida_antes"))
         .join(ceded, SALE_KEY, "left")
         .join(C.cancellation_latest(erp.cancellations), SALE_KEY, "left")
     )
     gone = R.cancelled_after(window.cutoff)
     cancelled_with_money = (F.col("status") == STATUS_CANCELLED) & gone & F.col("teve_recebimento")
     members = C.keep_members(candidates, portfolio, cancelled_with_money)
-    joined = (
-        C.without_cancelled_before(members, erp.cancellations, window.cutoff)
-        .join(C.cession_new_side(erp.history, portfolio), SALE_KEY, "left")
-        .join(L.receivables_by_sale(open_rows, valuation, portfolio, window.last_day), SALE_KEY, "left")
-        .join(L.due_before_paid_after(erp.receipts, portfolio, window.cutoff, "paga_depois"), SALE_KEY, "left")
-        .join(launch, SALE_KEY, "left")
-        .join(
-            L.previous_month_open_asof(
-                erp.receivables,
-                erp.receipts,
-                portfolio,
-                window.previous_month_start,
-                window.month_start,
-                window.cutoff,
-            ),
-            SALE_KEY,
-            "left",
-        )
-        .join(C.legal_by_sale(erp.occurrences), SALE_KEY, "left")
-        .withColumn("pagou_vencida_antes", F.col("_largada"))
+    joined = _join_parts(
+        C.without_cancelled_before(members, erp.cancellations, window.cutoff),
+        [
+            (bool(wanted & _VALUED), valued),
+            (not wanted & _VALUED and bool(wanted & _OVERDUE), lambda: L.overdue_by_sale(open_rows, window.last_day)),
+            (bool(wanted & _OVERDUE), late_payers),
+            ("inad_junho" in wanted, overdue_at_launch),
+            (bool(wanted & _NEW_SIDE), lambda: C.cession_new_side(erp.history, portfolio)),
+            (bool(wanted & _PREVIOUS_MONTH), previous_month),
+            (bool(wanted & _LEGAL), lambda: C.legal_by_sale(erp.occurrences)),
+        ],
     )
     rulings = {
         **_ledger_amounts(),
@@ -131,9 +171,7 @@ def close_core(erp: Erp, portfolio: Portfolio, window: CloseWindow) -> DataFrame
         **R.cession_columns(),
         **R.legal_columns(),
     }
-    return joined.withColumns(rulings).select(
-        *CORE_COLUMNS, "distrato_apos_fechamento", *COUNT_COLUMNS, "valor_a_receber"
-    )
+    return _rule(joined, rulings, columns)
 
 
 def enrich(core: DataFrame, erp: Erp, portfolio: Portfolio) -> DataFrame:

@@ -1,3 +1,3 @@
-from lastro.plans import contracts
+from lastro.plans import close, contracts, ledger, rulings
 
-SECTIONS = [contracts.section]
+SECTIONS = [contracts.section, ledger.section, rulings.section, close.section]
