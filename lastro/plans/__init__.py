@@ -1,3 +1,3 @@
-from lastro.plans import close, contracts, ledger, rulings
+from lastro.plans import audits, close, contracts, ledger, rulings
 
-SECTIONS = [contracts.section, ledger.section, rulings.section, close.section]
+SECTIONS = [contracts.section, ledger.section, rulings.section, close.section, audits.section]
