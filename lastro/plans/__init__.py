@@ -1,3 +1,3 @@
-from lastro.plans import audits, close, contracts, ledger, rulings
+from lastro.plans import audits, boards, close, contracts, kpis, ledger, rulings
 
-SECTIONS = [contracts.section, ledger.section, rulings.section, close.section, audits.section]
+SECTIONS = [m.section for m in (contracts, ledger, rulings, close, audits, kpis, boards)]

@@ -143,3 +143,54 @@ KEY6 = "empresa, obra, num_venda, num_parcela, num_parcela_geral, tipo"
 def with_tables(query: str, *more: str) -> str:
     """``query`` preceded by the stand-in tables and further named results."""
     return "with " + ",".join((ERP, *more)) + "\n" + query
+
+
+_KEY_O = _key("o_orderkey")
+CONTRATO = f"""
+contrato0 as (
+  select {_KEY_O.replace("as empresa", "as empresa_num").replace("as obra", "as obra_num").replace("as num_venda", "as o")},
+    o_custkey + n as c, n, cast(o_orderdate as date) as od, o_orderpriority as produto,
+    case when o_orderkey % 4 = 3 then 0 when o_orderkey % 61 = 0 then -cast(o_totalprice as decimal(18,2))
+      else cast(o_totalprice as decimal(18,2)) end as recebido, cast(o_totalprice as decimal(18,2)) as preco,
+    (o_orderkey + n) % 6 = 1 or (o_orderkey % 30 = 0 and n = 1) as pendente, o_orderkey % 4 <> 3 as pago
+  from orders, generate_series(0, 1) g(n) where n = 0 or o_orderkey % 10 = 0),
+contrato as (
+  select 'EMPRESA ' || n_name as empresa, cast(empresa_num as varchar) as empresa_codigo, 'DEV ' || obra_num as obra,
+    'DEV ' || obra_num as obra_nome, case when empresa_num <> 11 then n_name end as cidade, r_name as regional, produto,
+    cast(o as varchar) as num_venda, case when o % 251 <> 0 then lpad(cast(c as varchar), 11, '0') end as cpf_titular,
+    'Customer#' || lpad(cast(c as varchar), 9, '0') as nome_cliente, '62' || lpad(cast(c as varchar), 9, '9') as telefone,
+    'user' || c || '@mail.com' as email, case when pago then od + cast(o % 45 as integer) end as data_recebimento,
+    od as data_venda, coalesce(case when pago then strftime(od + cast(o % 45 as integer), '%Y-%m') end, '1998-08')
+      as mes_referencia,
+    {_m("recebido", "valor_principal")}, {_m("recebido * 0.02", "valor_multa")}, {_m("0", "valor_juros")},
+    {_m("case when o % 17 <> 0 then 0.50 end", "valor_custas")}, {_m("recebido", "valor_total_recebido")},
+    {_m("recebido * 0.9", "valor_elegivel")},
+    cast(case when recebido > 0 then floor(recebido / 100) else 0 end as bigint) as cupons_calculados,
+    cast(case when recebido > 0 and o % 3 = 0 then floor(recebido / 100) else 0 end as bigint) as cupons_casas,
+    cast(case when o % 12 = 0 then greatest(floor(preco / 100) - o % 3, 0) end as bigint) as cupons_oficiais,
+    case when pendente then 'pendente' else 'elegivel' end as status_elegibilidade,
+    case when o % 5 < 2 then 'elegivel' else 'pendente' end as status_elegibilidade_casas,
+    case when o % 9 <> 0 then 'cadastrado' else 'nao_cadastrado' end as status_cadastro,
+    case when o % 7 = 2 then 'recuperacao' else 'normal' end as classificacao_recebimento,
+    {_m("case when o % 7 = 2 and pago then preco * 0.25 else 0 end", "valor_recuperado")},
+    {_m("case when o % 8 = 5 and pago then preco * 0.1 else 0 end", "valor_antecipado")},
+    {_m("case when pendente then preco * 0.05 else 0 end", "valor_vencido_antes")},
+    {_m("case when pendente then preco * 0.004 else 0 end", "valor_juros_inadimplencia")},
+    {_m("case when pendente then preco * 0.001 else 0 end", "valor_multa_inadimplencia")},
+    cast(case when pendente then (o * 7) % 230 - 1 else 0 end as bigint) as dias_atraso, o % 37 = 0 as juridico_ativo,
+    o % 41 = 0 as juridico_passivo, o % 20 = 1 as flag_cessao, o % 23 = 0 as flag_contrato_quitado,
+    o % 20 = 0 as flag_contrato_cedido, o % 29 = 0 as flag_contemplado_casa
+  from contrato0 join nation on n_nationkey = empresa_num join region on r_regionkey = n_regionkey)"""
+
+
+def with_contract(query: str, *more: str) -> str:
+    """``query`` over the contract frame."""
+    return "with " + ",".join((CONTRATO, *more)) + "\n" + query
+
+
+def dbl(expression: str, name: str | None = None) -> str:
+    return f"cast({expression} as double) as {name or expression}"
+
+
+def big(expression: str, name: str) -> str:
+    return f"cast({expression} as bigint) as {name}"

@@ -284,3 +284,71 @@ def erp(spark: SparkSession, sf_dir: str) -> Erp:
         valuations=valuations(spark, sf_dir),
         receipts=receipts(spark, sf_dir),
     )
+
+
+# Contract frame: one row per sale and buyer --------------------------------
+
+
+def contract_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumption frame, every column a formula of the order and its buyer."""
+    orders = table(spark, sf_dir, "orders")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey as empresa_num", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey as n_regionkey", "r_name")
+    places = nation.join(region, "n_regionkey")
+    buyers = orders.selectExpr("*", "explode(sequence(0, case when o_orderkey % 10 = 0 then 1 else 0 end)) as n")
+    key = [e.replace("as empresa", "as empresa_num").replace("as obra", "as obra_num") for e in _key("o_orderkey")[:2]]
+    rows = buyers.selectExpr(
+        *key,
+        "o_orderkey as o",
+        "o_custkey + n as c",
+        "n",
+        "cast(o_orderdate as date) as od",
+        "o_orderpriority as produto",
+        """case when o_orderkey % 4 = 3 then 0 when o_orderkey % 61 = 0 then -cast(o_totalprice as decimal(18,2))
+             else cast(o_totalprice as decimal(18,2)) end as recebido""",
+        "cast(o_totalprice as decimal(18,2)) as preco",
+        "(o_orderkey + n) % 6 = 1 or (o_orderkey % 30 = 0 and n = 1) as pendente",
+    )
+    paid = "o % 4 <> 3"
+    return rows.join(places, "empresa_num").selectExpr(
+        "concat('EMPRESA ', n_name) as empresa",
+        "cast(empresa_num as string) as empresa_codigo",
+        "concat('DEV ', obra_num) as obra",
+        "concat('DEV ', obra_num) as obra_nome",
+        "case when empresa_num <> 11 then n_name end as cidade",
+        "r_name as regional",
+        "produto",
+        "cast(o as string) as num_venda",
+        "case when o % 251 <> 0 then lpad(cast(c as string), 11, '0') end as cpf_titular",
+        "concat('Customer#', lpad(cast(c as string), 9, '0')) as nome_cliente",
+        "concat('62', lpad(cast(c as string), 9, '9')) as telefone",
+        "concat('user', c, '@mail.com') as email",
+        f"case when {paid} then od + cast(o % 45 as int) end as data_recebimento",
+        "od as data_venda",
+        f"coalesce(case when {paid} then date_format(od + cast(o % 45 as int), 'yyyy-MM') end, '1998-08') as mes_referencia",
+        _money("recebido", "valor_principal"),
+        _money("recebido * 0.02", "valor_multa"),
+        _money("0", "valor_juros"),
+        _money("case when o % 17 <> 0 then 0.50 end", "valor_custas"),
+        _money("recebido", "valor_total_recebido"),
+        _money("recebido * 0.9", "valor_elegivel"),
+        "cast(case when recebido > 0 then floor(recebido / 100) else 0 end as bigint) as cupons_calculados",
+        "cast(case when recebido > 0 and o % 3 = 0 then floor(recebido / 100) else 0 end as bigint) as cupons_casas",
+        "cast(case when o % 12 = 0 then greatest(floor(preco / 100) - o % 3, 0) end as bigint) as cupons_oficiais",
+        "case when pendente then 'pendente' else 'elegivel' end as status_elegibilidade",
+        "case when o % 5 < 2 then 'elegivel' else 'pendente' end as status_elegibilidade_casas",
+        "case when o % 9 <> 0 then 'cadastrado' else 'nao_cadastrado' end as status_cadastro",
+        "case when o % 7 = 2 then 'recuperacao' else 'normal' end as classificacao_recebimento",
+        _money(f"case when o % 7 = 2 and {paid} then preco * 0.25 else 0 end", "valor_recuperado"),
+        _money(f"case when o % 8 = 5 and {paid} then preco * 0.1 else 0 end", "valor_antecipado"),
+        _money("case when pendente then preco * 0.05 else 0 end", "valor_vencido_antes"),
+        _money("case when pendente then preco * 0.004 else 0 end", "valor_juros_inadimplencia"),
+        _money("case when pendente then preco * 0.001 else 0 end", "valor_multa_inadimplencia"),
+        "cast(case when pendente then (o * 7) % 230 - 1 else 0 end as bigint) as dias_atraso",
+        "o % 37 = 0 as juridico_ativo",
+        "o % 41 = 0 as juridico_passivo",
+        "o % 20 = 1 as flag_cessao",
+        "o % 23 = 0 as flag_contrato_quitado",
+        "o % 20 = 0 as flag_contrato_cedido",
+        "o % 29 = 0 as flag_contemplado_casa",
+    )
