@@ -40,12 +40,20 @@ def _without_currency(col: Column) -> Column:
     return F.regexp_replace(col, "R\\$" + _BLANKS + "*", "")
 
 
+def _ingest_text(col: Column) -> Column:
+    text = F.replace(F.replace(_without_currency(col), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.regexp_replace(text, "^" + _BLANKS + "+|" + _BLANKS + "+$", "")
+
+
 def parse_ingest(col: Column, is_text: bool = True) -> Column:
     """Snapshot amounts: every dot is a thousands mark, the comma is decimal."""
-    if not is_text:
-        return F.coalesce(col.cast(MONEY), zero_amount())
-    text = F.replace(F.replace(_without_currency(col), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return _numeric(F.regexp_replace(text, "^" + _BLANKS + "+|" + _BLANKS + "+$", ""))
+    return _numeric(_ingest_text(col)) if is_text else F.coalesce(col.cast(MONEY), zero_amount())
+
+
+def ingest_failed(col: Column) -> Column:
+    """True where ``parse_ingest`` turned a non-blank text into zero."""
+    text = _ingest_text(col)
+    return F.coalesce((text != "") & text.try_cast(MONEY).isNull(), F.lit(False))
 
 
 def _decimal_comma(text: Column) -> Column:

@@ -1,3 +1,3 @@
-from lastro.plans import audits, boards, close, contracts, kpis, ledger, rulings
+from lastro.plans import audits, boards, close, contracts, corrections, kpis, ledger, rulings, silver
 
-SECTIONS = [m.section for m in (contracts, ledger, rulings, close, audits, kpis, boards)]
+SECTIONS = [m.section for m in (contracts, ledger, rulings, close, audits, kpis, boards, silver, corrections)]

@@ -352,3 +352,93 @@ def contract_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o % 20 = 0 as flag_contrato_cedido",
         "o % 29 = 0 as flag_contemplado_casa",
     )
+
+
+# Published snapshot with text amounts and days ------------------------------
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published form of a contract: accented names, text amounts, odd values."""
+    orders = table(spark, sf_dir, "orders")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey as empresa", "n_name", "n_regionkey")
+    places = nation.join(table(spark, sf_dir, "region").selectExpr("r_regionkey as n_regionkey", "r_name"), "n_regionkey")
+    rows = orders.selectExpr(
+        *_key("o_orderkey")[:2],
+        "o_orderkey as o",
+        "o_custkey as c",
+        "cast(o_orderdate as date) as od",
+        "o_orderpriority as prio",
+        "cast(o_totalprice as decimal(18,2)) as p",
+        "case when o_orderkey % 61 = 0 then -cast(o_totalprice as decimal(18,2)) else cast(o_totalprice as decimal(18,2)) end as v",
+    )
+
+    def text_money(value: str) -> str:
+        return f"concat(case when {value} < 0 then '-' else '' end, 'R$ ', translate(format_number(abs({value}), 2), ',.', '.,'))"
+
+    return rows.join(places, "empresa").selectExpr(
+        "n_name as `Cidade`",
+        "concat(' ', r_name) as `Regional`",
+        "empresa as `CodEmpresa`",
+        "obra as `CodObra`",
+        "concat('DEV ', obra) as `NomeObra`",
+        "concat('EMPRESA ', n_name) as `NomeEmpresa`",
+        "case when o % 19 <> 0 then prio end as `Produto`",
+        "o as `Venda`",
+        "date_format(od, 'dd/MM/yyyy') as `Dt.Venda`",
+        "case when o % 71 <> 0 then concat('Customer#', lpad(cast(c as string), 9, '0')) end as `NomeCliente`",
+        "lpad(cast(c as string), 11, '0') as `cpf_pes`",
+        "concat('user', c, '@mail.com') as `EmailCliente`",
+        "case when o % 13 <> 0 then cast(62900000000 + c as double) end as `TelefoneFormatado`",
+        "case when o % 6 = 0 then '1' when o % 6 = 1 then null else '0' end as `Inad Junho`",
+        "case when o % 7 = 2 then 1 else 0 end as `Recuperação`",
+        text_money("p") + " as `Valor Recuperado`",
+        "case when o % 8 = 5 then 'Sim' else 'Não' end as `Antecipação`",
+        text_money("p") + " as `Valor Antecipado`",
+        f"case when o % 47 <> 0 then {text_money('p')} end as `Valor Inadimplência`",
+        "p as `Valor Juros Inadimplência`",
+        f"case o % 43 when 0 then 'n/d' when 1 then '' else {text_money('v')} end as `Valor Recebido`",
+        f"{text_money('v')} as `Valor Gera Cupom`",
+        """case when o % 53 = 0 then '99/99/9999' when o % 5 = 4 then null
+             else date_format(od + cast(o % 45 as int), 'dd/MM/yyyy') end as `Data Último Recebimento`""",
+        "case when o % 59 = 0 then 'x' else cast(cast(floor(p / 100) as bigint) as string) end as `Cupons Milhão`",
+        "cast(floor(p / 100) as double) as `Cupons Casas`",
+        "case when o % 4 = 0 then 'Não' else 'Sim' end as `Pagou Parcela Mês Anterior`",
+        "case when o % 3 = 0 then o % 300 end as `DiasAtraso`",
+        "case o % 5 when 0 then 'NÃO APTO' when 1 then ' apto ' else 'APTO' end as `Status Sorteio`",
+        "case when o % 5 = 0 then 'PARCELA VENCIDA' else 'ADIMPLENTE' end as `Motivo`",
+        "case when o % 37 = 0 then ' sim' else 'Não' end as `Jurídico Ativo`",
+        "case when o % 41 = 0 then 'SIM' end as `Jurídico Passivo`",
+        "case when o % 20 = 1 then 'Sim' else 'Não' end as `Cessão`",
+        "case when o % 23 = 0 then 'Sim' else 'Não' end as `Contrato Quitado`",
+        "case when o % 20 = 0 then 'Sim' else 'Não' end as `Contrato Cedido`",
+        "case when o % 5 < 3 then 'APTO' else 'NÃO APTO' end as `Aptidão Casas`",
+        "case o % 5 when 0 then 'NÃO APTO' when 1 then ' apto ' else 'APTO' end as `Aptidão Sorteio`",
+        "timestamp_ntz '1998-07-31 21:30:00' + make_dt_interval(0, 0, 0, o % 2) as `snapshot_gerado_em`",
+    )
+
+
+def old_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier generation: no names, one ruler, no explicit marks."""
+    return snapshot(spark, sf_dir).drop(
+        "NomeObra", "NomeEmpresa", "Recuperação", "Valor Recuperado", "Valor Gera Cupom", "Inad Junho",
+        "Antecipação", "Aptidão Casas", "Aptidão Sorteio", "Cupons Casas", "Jurídico Ativo", "Cessão", "DiasAtraso",
+        "Dt.Venda", "snapshot_gerado_em", "Valor Antecipado", "Valor Juros Inadimplência",
+    )
+
+
+def amount_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts in the spellings exports use, one per order."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as linha",
+        """case o_orderkey % 10
+             when 0 then concat('R$ ', translate(format_number(cast(o_totalprice as decimal(18,2)), 2), ',.', '.,'))
+             when 1 then cast(cast(o_totalprice as decimal(18,2)) as string)
+             when 2 then concat('1.', lpad(cast(o_orderkey % 1000 as string), 3, '0'))
+             when 3 then concat('(', translate(format_number(cast(o_totalprice as decimal(18,2)), 2), ',.', '.,'), ')')
+             when 4 then '-'
+             when 5 then 'abc'
+             when 6 then concat('-R$ ', o_orderkey % 1000, ',50')
+             when 7 then concat('R$ ', o_orderkey % 1000, ',25 ')
+             when 8 then ''
+           end as texto""",
+    )
