@@ -1,3 +1,30 @@
-from lastro.plans import audits, boards, close, contracts, corrections, kpis, ledger, rulings, silver
+from lastro.plans import (
+    audits,
+    boards,
+    classification,
+    close,
+    contracts,
+    corrections,
+    kpis,
+    ledger,
+    reconcile,
+    rulings,
+    silver,
+)
 
-SECTIONS = [m.section for m in (contracts, ledger, rulings, close, audits, kpis, boards, silver, corrections)]
+SECTIONS = [
+    module.section
+    for module in (
+        contracts,
+        ledger,
+        rulings,
+        close,
+        audits,
+        silver,
+        corrections,
+        kpis,
+        boards,
+        reconcile,
+        classification,
+    )
+]

@@ -139,6 +139,6 @@ def update_coupons_from_close(spark, sf):
 )
 def scale_fix_1e6(spark, sf):
     """A frame whose amounts lost their decimal point comes back in scale."""
-    swallowed = F.col("valor_total_recebido").cast("double") * 1_000_000
+    swallowed = F.col("valor_total_recebido") * 1_000_000
     broken = S.contract_frame(spark, sf).withColumn("valor_total_recebido", swallowed)
     return H.scale_fix(broken, "valor_total_recebido", "cupons_calculados").select(*ROW, "valor_total_recebido")
