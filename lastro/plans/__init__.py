@@ -5,11 +5,14 @@ from lastro.plans import (
     close,
     contracts,
     corrections,
+    files,
     kpis,
     ledger,
+    quality,
     reconcile,
     rulings,
     silver,
+    streams,
 )
 
 SECTIONS = [
@@ -26,5 +29,8 @@ SECTIONS = [
         boards,
         reconcile,
         classification,
+        quality,
+        files,
+        streams,
     )
 ]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lastro.functions.text import match_name
 from lastro.params import Portfolio
 
-ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
+UTF8, LATIN = "UTF-8", "ISO-8859-1"
 SEPARATORS = (";", ",", "\t", "|")
 CORRUPT = "_corrompido"
 _NO_SEPARATOR = "\x01"
@@ -76,11 +76,20 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """First encoding that decodes every line. Stops at the first bad line found."""
-    for encoding in ENCODINGS:
-        if _lines(spark, path, encoding).where(F.col("linha").contains("\ufffd")).isEmpty():
-            return encoding
-    return ENCODINGS[-1]
+    """UTF-8 unless some line does not decode. Stops at the first such line."""
+    bad = _lines(spark, path, UTF8).where(F.col("linha").contains("\ufffd"))
+    return UTF8 if bad.isEmpty() else LATIN
+
+
+def _windows_marks() -> tuple[str, str]:
+    """Control characters Latin-1 shows where Windows-1252 has letters and marks."""
+    pairs = []
+    for byte in range(0x80, 0xA0):
+        try:
+            pairs.append((chr(byte), bytes([byte]).decode("cp1252")))
+        except UnicodeDecodeError:
+            continue
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
 def read_export_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -99,7 +108,7 @@ def read_export_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         raise ValueError(f"{path} has a single column")
     names = [part.strip().strip('"') for part in header.split(separator)]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, CORRUPT)])
-    return spark.read.csv(
+    rows = spark.read.csv(
         path,
         schema=schema,
         sep=separator,
@@ -110,6 +119,10 @@ def read_export_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         columnNameOfCorruptRecord=CORRUPT,
         multiLine=multi_line,
     )
+    if encoding == UTF8:
+        return rows
+    controls, marks = _windows_marks()
+    return rows.select(*(F.translate(named(c), controls, marks).alias(c) for c in rows.columns))
 
 
 def read_partitioned(spark: SparkSession, path: str, portfolio: Portfolio) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lastro.params import Campaign, CloseWindow, LiveWindow, Portfolio
 from lastro.sources.tables import Erp
@@ -442,3 +443,18 @@ def amount_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
              when 8 then ''
            end as texto""",
     )
+
+
+# Run logs -------------------------------------------------------------------
+
+
+def close_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven daily executions of a close: each sees the receipts posted by its day."""
+    paid = receipts(spark, sf_dir).where("pago_em >= date '1998-07-01' and pago_em < date '1998-08-01'")
+    runs = "explode(sequence(cast(greatest(datediff(cadastrado_em, date '1998-08-01'), 0) as int), 6)) as dia"
+    seen = paid.selectExpr("principal", runs)
+    return seen.selectExpr("principal", "date_add(date '1998-08-01', dia) as dt_execucao").groupBy("dt_execucao").agg(
+        F.lit("1998_07").alias("anomes"),
+        F.count(F.lit(1)).alias("recebimentos"),
+        F.sum("principal").alias("valor"),
+    )
