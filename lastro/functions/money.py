@@ -36,13 +36,10 @@ def _numeric(text: Column) -> Column:
     return F.coalesce(text.try_cast(MONEY), zero_amount())
 
 
-def _without_currency(col: Column) -> Column:
-    return F.regexp_replace(col, "R\\$" + _BLANKS + "*", "")
-
-
 def _ingest_text(col: Column) -> Column:
-    text = F.replace(F.replace(_without_currency(col), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.regexp_replace(text, "^" + _BLANKS + "+|" + _BLANKS + "+$", "")
+    """One pass drops currency marks, dots and outer blanks; the comma turns into the point."""
+    noise = "R\\$" + _BLANKS + "*|\\.|^" + _BLANKS + "+|" + _BLANKS + "+$"
+    return F.translate(F.regexp_replace(col, noise, ""), ",", ".")
 
 
 def parse_ingest(col: Column, is_text: bool = True) -> Column:

@@ -41,7 +41,7 @@ def is_true(condition: Column) -> Column:
 
 def overdue() -> Column:
     """Overdue at the reference day; a frame without late payers has no such column."""
-    return is_true(F.col("status_contas") == "Inadimplente") | is_true(F.col("paga_depois") == 1)
+    return is_true(F.col("inadimplente") == 1) | is_true(F.col("paga_depois") == 1)
 
 
 def overdue_at_launch() -> Column:

@@ -81,7 +81,7 @@ def overdue_by_sale(open_rows: DataFrame, reference_day: date) -> DataFrame:
 
 def _overdue_marks(reference_day: date) -> list[Column]:
     return [
-        F.max(F.when(F.col("vencidas") > 0, "Inadimplente")).alias("status_contas"),
+        F.max(F.when(F.col("vencidas") > 0, 1)).alias("inadimplente"),
         F.max("antes_campanha").alias("aberta_antes_campanha"),
         F.datediff(F.lit(reference_day), F.min("mais_antiga")).cast("long").alias("dias_atraso"),
     ]

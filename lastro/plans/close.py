@@ -45,7 +45,7 @@ consolidado_corte as (
         for kind in INSTALMENT_TYPES
     )
 }, cast(sum(case when tipo <> '1' then val_parcela else 0 end) as double) as valor_a_receber,
-    max(case when vencida then 'Inadimplente' end) as status_contas,
+    max(case when vencida then 1 end) as inadimplente,
     max(case when vencimento < date '1998-07-01' and paga is null then 1 end) as aberta_antes_campanha,
     date '1998-07-31' - min(case when vencida then vencimento end) as dias_atraso,
     cast(sum(case when vencida and tipo <> '1' then coalesce(val_principal, 0) + coalesce(val_juros, 0)
@@ -90,7 +90,7 @@ nucleo_corte as (
       and e.num_venda = v.num_venda and e.dia < date '1998-08-01')),
 fechado as (
   select {KEY}, cliente, data_venda, cast(valor_venda as double) as valor_venda, status,
-    case when status_contas = 'Inadimplente' or paga_depois = 1 then 'Inadimplente' else 'Adimplente' end as statuvenda,
+    case when inadimplente = 1 or paga_depois = 1 then 'Inadimplente' else 'Adimplente' end as statuvenda,
     case when aberta_antes_campanha = 1 or pagou_vencida_antes = 1 then 1 else 0 end as inad_junho,
     case when recuperou = 1 then 1 else 0 end as recuperacao,
     cast(coalesce(valor_recuperado, 0) as double) as valor_recuperado,
@@ -106,10 +106,10 @@ fechado as (
     cast(case when valor_recebido > 0 then floor(valor_recebido / 100) else 0 end as bigint) as cupons_milhao,
     cast(case when valor_recebido_mes > 0 then floor(valor_recebido_mes / 100) else 0 end as bigint) as cupons_casas,
     case when mes_anterior_aberto = 1 then 'Não' else 'Sim' end as pagou_parcela_mes_anterior, dias_atraso,
-    case when distratada_depois or status_contas = 'Inadimplente' or paga_depois = 1 then 'NÃO APTO' else 'APTO' end
+    case when distratada_depois or inadimplente = 1 or paga_depois = 1 then 'NÃO APTO' else 'APTO' end
       as status_sorteio,
     case when distratada_depois then 'DISTRATO APÓS O FECHAMENTO'
-      when status_contas = 'Inadimplente' or paga_depois = 1 then 'PARCELA VENCIDA EM ABERTO EM 31/07'
+      when inadimplente = 1 or paga_depois = 1 then 'PARCELA VENCIDA EM ABERTO EM 31/07'
       else 'ADIMPLENTE' end as motivo,
     case when jur_ativo = 1 then 'Sim' else 'Não' end as juridico_ativo,
     case when jur_passivo = 1 then 'Sim' else 'Não' end as juridico_passivo,
@@ -120,7 +120,7 @@ fechado as (
     case when distratada_depois then 'NÃO APTO'
       when status = 3 or (status = 1 and venda_nova is not null)
         then case when coalesce(valor_recebido_mes, 0) > 0 then 'APTO' else 'NÃO APTO' end
-      when status_contas = 'Inadimplente' or paga_depois = 1 then 'NÃO APTO' else 'APTO' end as aptidao_casas,
+      when inadimplente = 1 or paga_depois = 1 then 'NÃO APTO' else 'APTO' end as aptidao_casas,
     status_sorteio as aptidao_sorteio,
     qtd_p, qtd_s, qtd_sa, qtd_sn, qtd_e, qtd_er, qtd_am, qtd_fc, qtd_b, qtd_r, qtd_i, qtd_op
   from nucleo_corte)"""

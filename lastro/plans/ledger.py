@@ -27,7 +27,7 @@ consolidado as (
         for kind in INSTALMENT_TYPES
     )
 }, cast(sum(case when tipo <> '1' then val_parcela else 0 end) as double) as valor_a_receber,
-    max(case when vencimento < date '1998-08-11' then 'Inadimplente' end) as status_contas,
+    max(case when vencimento < date '1998-08-11' then 1 end) as inadimplente,
     max(case when vencimento < date '1998-07-01' then 1 end) as aberta_antes_campanha,
     date '1998-08-11' - min(case when vencimento < date '1998-08-11' then vencimento end) as dias_atraso,
     cast(sum(case when vencimento < date '1998-08-11' and tipo <> '1' then coalesce(val_principal, 0)
@@ -84,7 +84,7 @@ def _receivable_query(name: str, columns: list[str], marks_only: bool = False) -
 
 _receivable_query("instalment_type_counts", [f"qtd_{kind.lower()}" for kind in INSTALMENT_TYPES])
 _receivable_query("receivable_total", ["valor_a_receber"])
-_receivable_query("overdue_flag", ["status_contas"], marks_only=True)
+_receivable_query("overdue_flag", ["inadimplente"], marks_only=True)
 _receivable_query("overdue_before_campaign", ["aberta_antes_campanha"], marks_only=True)
 _receivable_query("days_overdue", ["dias_atraso"], marks_only=True)
 _receivable_query("overdue_amount", ["valor_inadimplente"])

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from lastro.operators import base as B
@@ -44,7 +42,7 @@ def known_at(spark, sf, window, columns):
     erp = S.erp(spark, sf)
     day = F.lit(window.as_of)
     seen = erp.receipts.where((F.col("pago_em") <= day) & (F.col("cadastrado_em") <= day))
-    return B.live_core(replace(erp, receipts=seen), S.PORTFOLIO, window, columns)
+    return B.live_core(erp.replace(receipts=seen), S.PORTFOLIO, window, columns)
 
 
 _MINIMAL = ["empresa", "obra", "num_venda", "status_sorteio", "cupons_casas", "cupons_milhao", "valor_recebido"]

@@ -28,7 +28,7 @@ nucleo as (
       where d.empresa = v.empresa and d.obra = v.obra and d.num_venda = v.num_venda)),
 vivo as (
   select {KEY}, cliente, data_venda, cast(valor_venda as double) as valor_venda, status,
-    case when status_contas = 'Inadimplente' then 'Inadimplente' else 'Adimplente' end as statuvenda,
+    case when inadimplente = 1 then 'Inadimplente' else 'Adimplente' end as statuvenda,
     case when aberta_antes_campanha = 1 or pagou_vencida_antes = 1 then 1 else 0 end as inad_junho,
     case when recuperou = 1 then 1 else 0 end as recuperacao,
     cast(coalesce(valor_recuperado, 0) as double) as valor_recuperado,
@@ -44,8 +44,8 @@ vivo as (
     cast(case when valor_recebido > 0 then floor(valor_recebido / 100) else 0 end as bigint) as cupons_milhao,
     cast(case when valor_recebido_mes > 0 then floor(valor_recebido_mes / 100) else 0 end as bigint) as cupons_casas,
     case when mes_anterior_aberto = 1 then 'Não' else 'Sim' end as pagou_parcela_mes_anterior, dias_atraso,
-    case when status_contas = 'Inadimplente' then 'NÃO APTO' else 'APTO' end as status_sorteio,
-    case when status_contas = 'Inadimplente' then 'PARCELA VENCIDA NO ENCERRAMENTO DO PERÍODO'
+    case when inadimplente = 1 then 'NÃO APTO' else 'APTO' end as status_sorteio,
+    case when inadimplente = 1 then 'PARCELA VENCIDA NO ENCERRAMENTO DO PERÍODO'
       else 'ADIMPLENTE' end as motivo,
     case when jur_ativo = 1 then 'Sim' else 'Não' end as juridico_ativo,
     case when jur_passivo = 1 then 'Sim' else 'Não' end as juridico_passivo,
@@ -54,8 +54,8 @@ vivo as (
     case when venda_nova is not null then 'Sim' else 'Não' end as contrato_cedido, venda_nova as venda_nova_cessao, data_cedida,
     case when status = 3 or (status = 1 and venda_nova is not null)
         then case when coalesce(valor_recebido_mes, 0) > 0 then 'APTO' else 'NÃO APTO' end
-      when status_contas = 'Inadimplente' then 'NÃO APTO' else 'APTO' end as aptidao_casas,
-    case when status_contas = 'Inadimplente' then 'NÃO APTO' else 'APTO' end as aptidao_sorteio,
+      when inadimplente = 1 then 'NÃO APTO' else 'APTO' end as aptidao_casas,
+    case when inadimplente = 1 then 'NÃO APTO' else 'APTO' end as aptidao_sorteio,
     qtd_p, qtd_s, qtd_sa, qtd_sn, qtd_e, qtd_er, qtd_am, qtd_fc, qtd_b, qtd_r, qtd_i, qtd_op
   from nucleo)"""
 

@@ -1,0 +1,18 @@
+"""Scans of inputs with fewer splits than the cluster has cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Hash the rows of a scan over all cores when its files give too few splits.
+
+    One file with one row group is one task, whatever the cluster. A table of the
+    intended size has many more splits than cores and is returned untouched, so
+    this adds no shuffle there. Filters and column pruning pass through it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *key)

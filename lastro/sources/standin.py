@@ -10,11 +10,13 @@ successor inside the same development.
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastro.params import Campaign, CloseWindow, LiveWindow, Portfolio
+from lastro.sources.scan import spread
 from lastro.sources.tables import Erp
 
 PORTFOLIO = Portfolio(city_alias=(("NATION_9", "NATION_8"),))
@@ -25,8 +27,22 @@ CAMPAIGN = Campaign(date(1998, 7, 1), date(1998, 12, 31))
 TEST_CLIENT = "#00000010"
 
 
+# Unique column of each large table, to spread a scan of too few splits by.
+_SPREAD_BY = {
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "events": "event_id",
+    "documents": "doc_id",
+}
+
+
+@lru_cache(maxsize=64)
+def _open(spark: SparkSession, application: str, path: str, spread_by: str | None) -> DataFrame:
+    df = spark.read.parquet(path)
+    return spread(df, spread_by) if spread_by else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, opened (listed, schema read) once per application."""
+    return _open(spark, spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet", _SPREAD_BY.get(name))
 
 
 def _key(order: str) -> list[str]:
@@ -261,30 +277,27 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    return nation.selectExpr("n_nationkey as empresa", "concat('EMPRESA ', n_name) as empresa_nome")
+
+
+def items_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items(spark, sf_dir, live=True)
+
+
+def items_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items(spark, sf_dir, live=False)
+
+
+_READERS = (
+    sales_live, sales_archived, developments, companies, groups, items_live, items_archived, units, products,
+    people, phones, occurrences, history, cancellations, categories, receivables, valuations, receipts,
+)
+
+
 def erp(spark: SparkSession, sf_dir: str) -> Erp:
-    companies = table(spark, sf_dir, "nation").selectExpr(
-        "n_nationkey as empresa", "concat('EMPRESA ', n_name) as empresa_nome"
-    )
-    return Erp(
-        sales_live=sales_live(spark, sf_dir),
-        sales_archived=sales_archived(spark, sf_dir),
-        developments=developments(spark, sf_dir),
-        companies=companies,
-        groups=groups(spark, sf_dir),
-        items_live=items(spark, sf_dir, live=True),
-        items_archived=items(spark, sf_dir, live=False),
-        units=units(spark, sf_dir),
-        products=products(spark, sf_dir),
-        people=people(spark, sf_dir),
-        phones=phones(spark, sf_dir),
-        occurrences=occurrences(spark, sf_dir),
-        history=history(spark, sf_dir),
-        cancellations=cancellations(spark, sf_dir),
-        categories=categories(spark, sf_dir),
-        receivables=receivables(spark, sf_dir),
-        valuations=valuations(spark, sf_dir),
-        receipts=receipts(spark, sf_dir),
-    )
+    return Erp(**{read.__name__: partial(read, spark, sf_dir) for read in _READERS})
 
 
 # Contract frame: one row per sale and buyer --------------------------------

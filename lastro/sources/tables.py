@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,30 +151,6 @@ _DATES = {
 }
 
 
-@dataclass(frozen=True)
-class Erp:
-    """One DataFrame per source table, columns as in ``ERP_COLUMNS``."""
-
-    sales_live: DataFrame
-    sales_archived: DataFrame
-    developments: DataFrame
-    companies: DataFrame
-    groups: DataFrame
-    items_live: DataFrame
-    items_archived: DataFrame
-    units: DataFrame
-    products: DataFrame
-    people: DataFrame
-    phones: DataFrame
-    occurrences: DataFrame
-    history: DataFrame
-    cancellations: DataFrame
-    categories: DataFrame
-    receivables: DataFrame
-    valuations: DataFrame
-    receipts: DataFrame
-
-
 _TABLE_OF_FIELD = {
     "sales_live": "Vendas",
     "sales_archived": "VendasRecebidas",
@@ -197,6 +173,33 @@ _TABLE_OF_FIELD = {
 }
 
 
+class Erp:
+    """The source tables as attributes, columns as in ``ERP_COLUMNS``.
+
+    A table is opened when it is first asked for, so a query lists and opens only
+    the tables it reads.
+    """
+
+    def __init__(self, **readers: Callable[[], DataFrame]) -> None:
+        unknown = set(readers) - set(_TABLE_OF_FIELD)
+        if unknown:
+            raise ValueError(f"not source tables: {sorted(unknown)}")
+        self._readers = readers
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        readers = self.__dict__.get("_readers", {})
+        if name not in readers:
+            raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = readers[name]()
+        return self._frames[name]
+
+    def replace(self, **frames: DataFrame) -> Erp:
+        """The same tables with some of them exchanged."""
+        return Erp(**{**self._readers, **{name: (lambda df=df: df) for name, df in frames.items()}})
+
+
 def rename_erp(df: DataFrame, table: str) -> DataFrame:
     """Raw source columns to operator names; date-times keep their day only."""
     by_lower = {c.lower(): c for c in df.columns}
@@ -211,9 +214,9 @@ def rename_erp(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_erp(spark: SparkSession, root: str) -> Erp:
-    """Parquet directories named after the source tables, read lazily."""
-    frames = {
-        field: rename_erp(spark.read.parquet(f"{root.rstrip('/')}/{table}"), table)
-        for field, table in _TABLE_OF_FIELD.items()
-    }
-    return Erp(**frames)
+    """Parquet directories named after the source tables."""
+
+    def reader(table: str) -> Callable[[], DataFrame]:
+        return lambda: rename_erp(spark.read.parquet(f"{root.rstrip('/')}/{table}"), table)
+
+    return Erp(**{field: reader(table) for field, table in _TABLE_OF_FIELD.items()})
