@@ -11,6 +11,10 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+def percent(part: Column, whole: Column) -> Column:
+    return ratio(100 * part.cast("double"), whole)
+
+
 def totals(df: DataFrame, **aggregates: Column) -> dict[str, Column]:
     """Global aggregates as scalar columns, usable in a select over any frame.
 

@@ -179,7 +179,7 @@ def enrich(core: DataFrame, erp: Erp, portfolio: Portfolio) -> DataFrame:
     dimension = C.development_dimension(erp.developments, erp.companies, erp.groups, portfolio)
     placed = core.join(C.item_per_sale(erp.items_live, erp.items_archived), SALE_KEY).join(dimension, ["empresa", "obra"])
     housed = C.with_product(C.with_unit(placed, erp.units, portfolio), erp.products)
-    known = C.with_client(housed, erp.people).join(C.best_phone(erp.phones), "cliente", "left")
+    known = C.with_contact(housed, erp.people, erp.phones)
     core_columns = [c for c in core.columns if c not in ("cliente", "status")]
     lead = list(PUBLISHED)[: list(PUBLISHED).index("qtd_p")]
     order = lead + [c for c in core_columns if c not in lead]

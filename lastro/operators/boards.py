@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastro.functions.money import zero_amount
-from lastro.functions.ratios import ratio, rounded, totals
+from lastro.functions.ratios import percent, ratio, rounded, totals
 from lastro.operators.kpis import ELIGIBLE, PENDING, is_status, mark, monthly_ruling, unpivot_row
 from lastro.schemas import SALE_KEY
 
@@ -83,7 +83,7 @@ def average_days_late(df: DataFrame) -> DataFrame:
 def registration_rate(df: DataFrame) -> DataFrame:
     sales = df.groupBy(*SALE_KEY).agg(mark(F.col("status_cadastro") == "cadastrado").alias("cadastrado"))
     sums = sales.agg(F.count(F.lit(1)).alias("contratos"), count_sum("cadastrado").alias("cadastrados"))
-    return sums.withColumn("taxa_cadastro", ratio(100 * F.col("cadastrados"), F.col("contratos")))
+    return sums.withColumn("taxa_cadastro", percent(F.col("cadastrados"), F.col("contratos")))
 
 
 def city_status_pivot(df: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def city_status_pivot(df: DataFrame) -> DataFrame:
 def portfolio_share(df: DataFrame) -> DataFrame:
     """Share of sales with an eligible row, as the headline rounds it."""
     sums = per_sale(df).agg(F.sum("elegivel").alias("e"), F.count(F.lit(1)).alias("n"))
-    return sums.select((rounded(ratio(100 * F.col("e"), F.col("n")), 1) / 100).alias("media"))
+    return sums.select((rounded(percent(F.col("e"), F.col("n")), 1) / 100).alias("media"))
 
 
 def city_above_below(df: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def legal_split(df: DataFrame) -> DataFrame:
     )
     collectable = F.greatest(F.col("saldo") - F.col("valor_na_justica"), zero_amount())
     charges = (F.col("juros") + F.col("multa")).cast("double")
-    return sums.withColumns({"valor_cobravel": collectable, "pct_multa_juros": ratio(100 * charges, F.col("saldo"))})
+    return sums.withColumns({"valor_cobravel": collectable, "pct_multa_juros": percent(charges, F.col("saldo"))})
 
 
 def overdue_composition(df: DataFrame) -> DataFrame:
@@ -296,8 +296,8 @@ def share_ranking(df: DataFrame, label: str, value: str, n: int) -> DataFrame:
         position.alias("posicao"),
         label,
         value,
-        ratio(100 * F.col(value), whole["maior"]).cast("long").alias("pct_do_maior"),
-        ratio(100 * F.col(value), whole["soma"]).alias("pct_do_total"),
+        percent(F.col(value), whole["maior"]).cast("long").alias("pct_do_maior"),
+        percent(F.col(value), whole["soma"]).alias("pct_do_total"),
     )
 
 
@@ -331,7 +331,7 @@ def portfolio_split(df: DataFrame) -> DataFrame:
     entries = F.array(
         *(
             F.struct(
-                F.lit(name).alias("situacao"), F.col(name).alias("contratos"), ratio(100 * F.col(name), F.col("n")).alias("pct")
+                F.lit(name).alias("situacao"), F.col(name).alias("contratos"), percent(F.col(name), F.col("n")).alias("pct")
             )
             for name in ("adimplentes", "inadimplentes")
         )

@@ -190,6 +190,16 @@ def best_phone(phones: DataFrame) -> DataFrame:
     return picked.select("cliente", "telefone", "tipo_telefone")
 
 
+def with_contact(df: DataFrame, people: DataFrame, phones: DataFrame) -> DataFrame:
+    """Client and best phone in one join.
+
+    Both sides are put together first: a client who holds many sales then skews a
+    single join, which adaptive execution can split.
+    """
+    named = people.select("cliente", "nome", "cpf", "email")
+    return df.join(named.join(best_phone(phones), "cliente", "full"), "cliente", "left")
+
+
 # Legal occurrences ----------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastro.functions.money import zero_amount
-from lastro.functions.ratios import ratio, rounded
+from lastro.functions.ratios import percent, ratio, rounded
 from lastro.params import Campaign, CouponRule
 from lastro.schemas import SALE_KEY
 
@@ -128,7 +128,7 @@ def kpis_portfolio(df: DataFrame) -> DataFrame:
     return kpis_executive(df).withColumns(
         {
             "contratos_inadimplentes": total - eligible,
-            "pct_adimplencia": rounded(ratio(100 * eligible, total), 1),
+            "pct_adimplencia": rounded(percent(eligible, total), 1),
             "ticket_medio": ratio(F.col("valor_total_recebido"), total),
             "cupons_por_contrato_apto": rounded(ratio(F.col("cupons_calculados"), eligible), 1),
         }

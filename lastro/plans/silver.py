@@ -224,7 +224,7 @@ _PRICE = "cast(o_totalprice as decimal(18,2))"
 @section.query(
     "parse_money_export",
     f"""select o_orderkey as linha,
-      {dbl(f"case o_orderkey % 10 when 0 then {_PRICE} when 1 then {_PRICE} when 2 then 1 + ({_ORDER}) / 1000.0 when 7 then ({_ORDER}) + 0.25 else 0 end", "exportado")},
+      {dbl(f"case o_orderkey % 10 when 0 then {_PRICE} when 1 then {_PRICE} when 2 then cast(1000 + ({_ORDER}) as double) / 1000 when 7 then ({_ORDER}) + 0.25 else 0 end", "exportado")},
       {dbl(f"case o_orderkey % 10 when 0 then {_PRICE} when 1 then {_PRICE} when 2 then 1000 + ({_ORDER}) when 3 then -{_PRICE} when 6 then -(({_ORDER}) + 0.5) when 7 then ({_ORDER}) + 0.25 else 0 end", "contabil")},
       {dbl(f"case o_orderkey % 10 when 0 then {_PRICE} when 1 then {_PRICE} * 100 when 2 then 1000 + ({_ORDER}) when 3 then {_PRICE} when 6 then -(({_ORDER}) + 0.5) when 7 then ({_ORDER}) + 0.25 else 0 end", "digitos")},
       o_orderkey % 10 = 5 as falhou

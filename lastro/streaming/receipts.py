@@ -64,7 +64,7 @@ def daily_sums(stream: DataFrame, ts: str, value: str, lateness: str = "2 days")
     Watermarks need an instant, so a zone-less time is read as UTC whatever the
     session's zone, and the window's start is turned back the same way.
     """
-    instant = F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+    instant = F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
     marked = stream.withColumn("_instante", instant).withWatermark("_instante", lateness)
     grouped = marked.groupBy(F.window("_instante", "1 day").alias("dia"))
     start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("dia.start").cast("timestamp_ntz"))
