@@ -6,11 +6,10 @@ after it is a filter or an aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastro.functions.money import parse_export
-from lastro.functions.ratios import totals
 from lastro.functions.text import is_one, is_yes, normalize_status
 from lastro.schemas import SALE_KEY
 from lastro.sources.files import named, resolve_column
@@ -186,43 +185,50 @@ def contract_situation(joined: DataFrame) -> DataFrame:
 
 
 def situation_report(situations: DataFrame, top: int = 10) -> DataFrame:
-    """Counts by situation, rescues by status, test sales, cancellation categories, flags."""
-
-    def counted(section: str, rows: DataFrame, label: Column) -> DataFrame:
-        grouped = rows.groupBy(F.coalesce(label, F.lit("")).alias("chave")).agg(F.count(F.lit(1)).alias("qtd"))
-        return grouped.select(F.lit(section).alias("secao"), "chave", "qtd")
-
-    rescued = situations.where("resgatado_baixa_tardia = 1")
-    tests = situations.where(F.col("categoria_distrato").ilike("%teste%"))
-    cancelled = situations.where("distrato_aprovado = 'Sim'")
-    categories = counted("categoria", cancelled, F.col("categoria_distrato")).orderBy(F.desc("qtd"), "chave").limit(top)
-    return (
-        counted("situacao", situations, F.col("situacao"))
-        .unionByName(counted("resgatado por status", rescued, F.col("status_venda")))
-        .unionByName(counted("teste", tests, F.lit("TESTE")))
-        .unionByName(categories)
-        .unionByName(counted("cessao_hist", situations.where("cessao_hist = 'Sim'"), F.lit("Sim")))
-        .unionByName(counted("renegociacao_hist", situations.where("renegociacao_hist = 'Sim'"), F.lit("Sim")))
-    )
-
-
-def side_totals(df: DataFrame, suffix: str) -> dict[str, Column]:
-    return totals(
-        df,
-        contratos=F.count(F.lit(1)),
-        cupons=F.coalesce(F.sum(f"cupons_casas_{suffix}"), F.lit(0.0)),
-        aptos=F.count_if(F.col(f"status_{suffix}") == "APTO"),
+    """Counts by situation, rescues by status, test sales, cancellation categories, flags.
+
+    Each sale names the report lines it belongs to; one aggregation counts them
+    all, so the joins behind ``situations`` run once.
+    """
+
+    def line(section: str, label: Column, condition: Column | None = None) -> Column:
+        entry = F.struct(F.lit(section).alias("secao"), F.coalesce(label, F.lit("")).alias("chave"))
+        return entry if condition is None else F.when(condition, entry)
+
+    lines = F.array_compact(
+        F.array(
+            line("situacao", F.col("situacao")),
+            line("resgatado por status", F.col("status_venda"), F.col("resgatado_baixa_tardia") == 1),
+            line("teste", F.lit("TESTE"), F.col("categoria_distrato").ilike("%teste%")),
+            line("categoria", F.col("categoria_distrato"), F.col("distrato_aprovado") == "Sim"),
+            line("cessao_hist", F.lit("Sim"), F.col("cessao_hist") == "Sim"),
+            line("renegociacao_hist", F.lit("Sim"), F.col("renegociacao_hist") == "Sim"),
+        )
     )
+    counts = situations.select(F.inline(lines)).groupBy("secao", "chave").agg(F.count(F.lit(1)).alias("qtd"))
+    rank = F.row_number().over(Window.partitionBy("secao").orderBy(F.desc("qtd"), "chave"))
+    return counts.withColumn("_n", rank).where((F.col("secao") != "categoria") | (F.col("_n") <= top)).drop("_n")
 
 
 def summary(left: DataFrame, right: DataFrame, before: str, after: str) -> DataFrame:
-    """Sizes, coupons and eligible counts of both sides, and every kind of change."""
-    joined = compare(left, right)
+    """Sizes, coupons and eligible counts of both sides, and every kind of change.
+
+    One pass over the full join: each sale is one row of it, on whichever side it is.
+    """
     both = F.col("presenca") == "both"
     old, new = F.col(f"status_{before}"), F.col(f"status_{after}")
     old_coupons, new_coupons = F.col(f"cupons_casas_{before}"), F.col(f"cupons_casas_{after}")
-    sides = {name: side_totals(df, name) for name, df in ((before, left), (after, right))}
-    counts = joined.agg(
+    sides = []
+    for name, other, status, coupon in (
+        (before, "right_only", old, old_coupons),
+        (after, "left_only", new, new_coupons),
+    ):
+        sides += [
+            F.count_if(F.col("presenca") != other).alias(f"contratos_{name}"),
+            F.coalesce(F.sum(coupon), F.lit(0.0)).alias(f"cupons_{name}"),
+            F.count_if(status == "APTO").alias(f"aptos_{name}"),
+        ]
+    return compare(left, right).agg(
         F.count_if(both).alias("nos_dois"),
         F.count_if(F.col("presenca") == "left_only").alias("sairam"),
         F.count_if(F.col("presenca") == "right_only").alias("entraram"),
@@ -230,7 +236,5 @@ def summary(left: DataFrame, right: DataFrame, before: str, after: str) -> DataF
         F.count_if(both & (old == "APTO") & (new == "NAO APTO")).alias("perderam"),
         F.count_if(both & (new_coupons > old_coupons)).alias("ganharam_cupons"),
         F.count_if(both & (new_coupons < old_coupons)).alias("perderam_cupons"),
-    )
-    return counts.withColumns(
-        {f"{name}_{side}": column for side, columns in sides.items() for name, column in columns.items()}
+        *sides,
     )
