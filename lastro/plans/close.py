@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from lastro.operators import base as B
 from lastro.operators import contracts as C
 from lastro.operators import eligibility as R
