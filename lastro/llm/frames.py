@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lastro.sources.storage import checkpoint  # noqa: F401  (reliable, in the session's shared folder)
@@ -20,10 +20,22 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def ref(name: str):
+def ref(name: str) -> Column:
     """The column with exactly this name, whatever characters it has."""
     return F.col(f"`{name.replace('`', '``')}`")
 
 
 def parallelism(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def identity(key: str, text: str) -> Column:
+    """Key and hash of the text: what one document is, also where keys are null or repeat."""
+    return F.struct(ref(key).alias("key"), F.xxhash64(ref(text)).alias("version"))
+
+
+def first_of_each(df: DataFrame, by: str) -> DataFrame:
+    """One row per value of a column. Free after a sort-merge join on that column."""
+    number = free_name(df, "number")
+    ordered = Window.partitionBy(ref(by)).orderBy(ref(by))
+    return df.withColumn(number, F.row_number().over(ordered)).where(ref(number) == 1).drop(number)

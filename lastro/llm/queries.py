@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lastro.llm import chat, quality_rules, secrets, url_rules
+from lastro.llm import (
+    chat,
+    fuzzy_lines,
+    mixing,
+    page_text,
+    quality_rules,
+    secrets,
+    simhash,
+    substrings,
+    templates,
+    url_rules,
+)
 from lastro.llm.frames import table
 from lastro.plans.registry import Section
 
@@ -113,6 +124,65 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@section.query("op3_simhash_covering")
+def op3_simhash_covering(spark, sf_dir):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.cluster(table(spark, sf_dir, "documents"))
+
+
+@section.query("op4_template_leaks")
+def op4_template_leaks(spark, sf_dir):
+    """Documents that hold a benchmark passage, also with other numbers or names."""
+    return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = r"""
+with docs as (
+  select doc_id, source, row_number() over () as r,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         md5(coalesce(doc_id::varchar, '')) as digest from documents),
+sources as (
+  select source, sum(size)::bigint as source_size,
+         row_number() over (order by source nulls last) - 1 as place from docs group by source),
+weighed as (select *, [5, 2, 1][(place % 3 + 1)::int] as weight, 3 * source_size as most from sources),
+filled as (
+  select *, sum(source_size) over ()
+            - coalesce(sum(most) over (order by most / weight, place rows between unbounded preceding and 1 preceding), 0)
+            as left_words,
+         sum(weight) over (order by most / weight, place rows between current row and unbounded following) as rest_weight
+  from weighed),
+shared as (
+  select *, most * rest_weight >= weight * left_words as open,
+         max(case when most * rest_weight >= weight * left_words then left_words::double / rest_weight::double end) over ()
+           as share from filled),
+targets as (select source, place, source_size, case when open then weight * share else most::double end as target from shared),
+placed as (
+  select doc_id, size, source_size, target, place,
+         coalesce(sum(size) over (partition by place order by digest, doc_id, size
+                                  rows between unbounded preceding and 1 preceding), 0)::bigint as before,
+         case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole
+  from docs join targets on docs.source is not distinct from targets.source),
+taken as (
+  select *, size * whole + greatest(0, least(size, round(target - whole * source_size)::bigint - before)) as taken,
+         before / target as share from placed)
+select doc_id, size, source_size, target, taken::bigint as taken,
+       case when taken > 0 then case place % 3
+         when 0 then 2.0 * share / (1.5 + sqrt(2.25 - 2.0 * share))
+         when 1 then share
+         else case when share * 0.8125 < 0.1875 then
+                2.0 * (share * 0.8125) / (0.25 + sqrt(0.0625 + 1.0 * (share * 0.8125)))
+              else 0.5 + 2.0 * (share * 0.8125 - 0.1875) / (0.5 + sqrt(0.25 + 6.0 * (share * 0.8125 - 0.1875))) end
+         end end as position
+from taken
+"""
+
+
+@section.query("op5_curriculum_mix", OP5_SQL)
+def op5_curriculum_mix(spark, sf_dir):
+    """What the mix takes of every document, and when it first comes up."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 with split as (
   select page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
@@ -135,6 +205,36 @@ def op6_url_rules(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.literal_rules(spark))
 
 
+@section.query("op7_page_text")
+def op7_page_text(spark, sf_dir):
+    """Main text of every page."""
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+OP8_SQL = r"""
+with docs as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words, row_number() over () as r
+  from documents),
+starts as (select doc_id, r, words, unnest(range(len(words) - 19)) as i from docs where len(words) >= 20),
+windows as (select doc_id, r, i, array_to_string(words[i + 1:i + 20], ' ') as w from starts),
+firsts as (select w, min((coalesce(doc_id, -9223372036854775807), i)) as first from windows group by w),
+later as (select r, i from windows join firsts using (w) where (coalesce(doc_id, -9223372036854775807), i) > first),
+gone as (select r, i from (select distinct r, i + d as i from later, (select unnest(range(20)) as d))),
+lists as (select r, list(i) as removed from gone group by r),
+kept as (select doc_id, len(words) as n_words, coalesce(len(removed), 0) as n_removed,
+                list_filter(words, lambda word, n: removed is null or not list_contains(removed, n - 1)) as kept
+         from docs left join lists using (r))
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from kept
+"""
+
+
+@section.query("op8_substring_dedup", OP8_SQL)
+def op8_substring_dedup(spark, sf_dir):
+    """Every document's words without those of windows that start earlier."""
+    out = substrings.remove(table(spark, sf_dir, "documents"), texts=False)
+    return out.drop("kept")
+
+
 def _escaped(text: str) -> str:
     for plain, coded in chat.ESCAPES:
         text = f"replace({text}, '{plain}', '{coded}')"
@@ -168,3 +268,9 @@ def op9_chat_prefix(spark, sf_dir):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
     )
     return chat.digest(chat.examples(talks.unionByName(planted)))
+
+
+@section.query("op10_fuzzy_lines")
+def op10_fuzzy_lines(spark, sf_dir):
+    """Every document's lines that go because an equal or similar line comes earlier."""
+    return fuzzy_lines.report(table(spark, sf_dir, "documents"))
