@@ -7,6 +7,7 @@ characters; a shorter line is one shingle. Signatures come from one hash per shi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -42,9 +43,14 @@ CHARS = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: White space that is not one single space.
+_ODD_SPACE = re.compile(r"  |[^\S ]")
+
+
 def normal(line: str) -> str:
     """Lower case, single spaces, none at the ends. Empty for a line without visible characters."""
-    return " ".join(line.lower().split())
+    line = line.lower()
+    return " ".join(line.split()) if _ODD_SPACE.search(line) else line.strip(" ")
 
 
 def line_id(line: str) -> int:
@@ -70,7 +76,6 @@ def _signatures(lines: list[str], shape: Banding) -> np.ndarray:
         codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         lengths = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
         ends = np.cumsum(lengths)
-        starts = ends - lengths
         hashes = codes.astype(np.uint64)
         size = len(hashes) - shape.shingle + 1
         rolled = hashes[:size].copy()
@@ -80,16 +85,18 @@ def _signatures(lines: list[str], shape: Banding) -> np.ndarray:
         rolled ^= rolled >> np.uint64(32)
         rolled *= np.uint64(0xD6E8FEB86659FD93)
         rolled ^= rolled >> np.uint64(32)
-        short = rolled.astype(np.uint32)
-        across = np.zeros(size, dtype=bool)  # shingles that would run into the next line
+        whole = np.ones(size, dtype=bool)  # without shingles that would run into the next line
         for offset in range(1, shape.shingle):
             inside = ends - offset
-            across[inside[inside < size]] = True
+            whole[inside[inside < size]] = False
+        short = rolled.astype(np.uint32)[whole]
+        counts = lengths - shape.shingle + 1
+        starts = np.cumsum(counts) - counts
         keys = np.zeros((shape.bands, len(padded)), dtype=np.uint64)
+        varied = np.empty_like(short)
         for number in range(count):
-            varied = (short ^ masks[number]) * factors[number]
-            varied ^= varied >> np.uint32(15)
-            varied[across] = np.uint32(0xFFFFFFFF)
+            np.bitwise_xor(short, masks[number], out=varied)
+            np.multiply(varied, factors[number], out=varied)
             band = number // shape.rows
             keys[band] = keys[band] * _BASE + np.minimum.reduceat(varied, starts) + np.uint64(number)
         keys ^= keys >> np.uint64(29)
@@ -201,10 +208,16 @@ def links(
     """
     spread = lines.where("bands is not null").select("id", F.explode("bands").alias("bucket"))
     members = checkpoint(crowded(spread, block))
+    # Similar lines share most of their buckets: of buckets with the same ids one is enough.
+    sets = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    )
+    members = checkpoint(members.join(sets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")), "bucket", "left_semi"))
     wanted = members.select("id").distinct()
     shared = df.sparkSession.sparkContext.broadcast(repeated(wanted, _ids, sketch))
     found = df.select(ref(text).alias("t")).mapInArrow(partial(_wanted, shared), "id long, line string")
-    texts = found.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
+    texts = checkpoint(found.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")))
     told = members.join(texts, "id")
     alike = partial(_alike, shape)
     out = linked(told.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "id"), alike)
