@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from lastro.schemas import MONEY
 
+#: Amounts read from text may be of any length; only what is no number fails.
+READ = "decimal(38,4)"
+
+
 def zero_amount() -> Column:
     return F.lit(0).cast(MONEY)
 
@@ -33,7 +37,7 @@ def coupons(amount: Column, per_coupon: int = 100) -> Column:
 
 
 def _numeric(text: Column) -> Column:
-    return F.coalesce(text.try_cast(MONEY), zero_amount())
+    return F.coalesce(text.try_cast(READ), zero_amount().cast(READ))
 
 
 def _ingest_text(col: Column) -> Column:
@@ -50,7 +54,7 @@ def parse_ingest(col: Column, is_text: bool = True) -> Column:
 def ingest_failed(col: Column) -> Column:
     """True where ``parse_ingest`` turned a non-blank text into zero."""
     text = _ingest_text(col)
-    return F.coalesce((text != "") & text.try_cast(MONEY).isNull(), F.lit(False))
+    return F.coalesce((text != "") & text.try_cast(READ).isNull(), F.lit(False))
 
 
 def _decimal_comma(text: Column) -> Column:
@@ -84,7 +88,7 @@ def parse_signed(col: Column) -> Column:
 
 def signed_failed(col: Column) -> Column:
     """True where ``parse_signed`` had to fall back to zero."""
-    readable = signed_text(col).try_cast(MONEY).isNotNull()
+    readable = signed_text(col).try_cast(READ).isNotNull()
     return col.isNotNull() & ~_bare(col).isin("", "-") & ~readable
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 
 def _accent_map() -> tuple[str, str]:
-    """Accented Latin letters and their base letter, derived from Unicode."""
+    """Every letter that decomposes to an ASCII letter and marks, and that letter."""
     accented, plain = [], []
-    for code in range(0x00C0, 0x0250):
-        parts = unicodedata.normalize("NFD", chr(code))
-        if len(parts) > 1 and parts[0].isascii():
-            accented.append(chr(code))
+    for letter in filter(unicodedata.decomposition, map(chr, range(0x00C0, sys.maxunicode + 1))):
+        parts = unicodedata.normalize("NFD", letter)
+        if len(parts) > 1 and parts[0].isascii() and all(map(unicodedata.combining, parts[1:])):
+            accented.append(letter)
             plain.append(parts[0])
     return "".join(accented), "".join(plain)
 

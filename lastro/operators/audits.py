@@ -31,7 +31,6 @@ NEW_POSITIONS = (
     "2. NO DIA da cessao (suspeita tecnico/entrada)",
     "3. Depois da cessao (pagamento real do cessionario)",
 )
-MAX_INLINE_KEYS = 100_000
 
 
 def portfolio_cessions(history: DataFrame, portfolio: Portfolio) -> DataFrame:
@@ -169,14 +168,20 @@ def recent_sample(
     )
     for number, name in (("_antigo", "cliente_antigo"), ("_novo", "cliente_novo")):
         out = out.join(people.select(F.col("cliente").alias(number), F.col("nome").alias(name)), number, "left")
-    return out.select(
-        "empresa",
-        "obra",
-        F.col("num_venda").alias("venda_antiga"),
-        F.col("num_nova").alias("venda_nova"),
-        F.col("data_mnt").alias("data_cessao"),
-        "cliente_antigo",
-        "cliente_novo",
+    # A sale that repeats in a table repeats its cession: cut after the joins too.
+    order = (F.desc("data_mnt"), "empresa", "obra", "num_venda", "num_hist", "cliente_antigo", "cliente_novo")
+    return (
+        out.orderBy(*order)
+        .limit(rows)
+        .select(
+            "empresa",
+            "obra",
+            F.col("num_venda").alias("venda_antiga"),
+            F.col("num_nova").alias("venda_nova"),
+            F.col("data_mnt").alias("data_cessao"),
+            "cliente_antigo",
+            "cliente_novo",
+        )
     )
 
 
@@ -283,10 +288,8 @@ def late_sample(
 
 
 def inline_keys(spark: SparkSession, keys: Sequence[tuple[int, str, int]]) -> DataFrame:
-    """A literal key list; its size is known here, so it may be broadcast."""
-    if len(keys) > MAX_INLINE_KEYS:
-        raise ValueError(f"{len(keys)} keys: write them to a table and join that")
-    return F.broadcast(spark.createDataFrame(list(keys), "empresa int, obra string, num_venda long"))
+    """A literal key list of any length; Spark picks the join by its measured size."""
+    return spark.createDataFrame(list(keys), "empresa int, obra string, num_venda long")
 
 
 def key_trace(

@@ -51,9 +51,8 @@ def _sales(erp: Erp, portfolio: Portfolio) -> DataFrame:
 
 
 def _with_receipts(sales: DataFrame, receipts: DataFrame) -> DataFrame:
-    return sales.join(receipts.withColumn("_recebeu", F.lit(True)), SALE_KEY, "left").withColumn(
-        "teve_recebimento", R.is_true(F.col("_recebeu"))
-    )
+    """``recebeu`` is 1 where a receipt of the window counts."""
+    return sales.join(receipts, SALE_KEY, "left").withColumn("teve_recebimento", R.is_true(F.col("recebeu") == 1))
 
 
 def _ledger_amounts() -> dict[str, Column]:
@@ -69,7 +68,7 @@ def _ledger_amounts() -> dict[str, Column]:
 _VALUED = {"valor_a_receber", "valor_inadimplencia", "valor_juros_inadimplencia", "valor_multa_inadimplencia", *COUNT_COLUMNS}
 _OVERDUE = {"statuvenda", "inad_junho", "dias_atraso", "status_sorteio", "motivo", "aptidao_casas", "aptidao_sorteio"}
 _NEW_SIDE = {"cessao", "venda_origem_cessao", "data_cessao"}
-_PREVIOUS_MONTH = {"pagou_parcela_mes_anterior"}
+_MARKED = {*_OVERDUE, "pagou_parcela_mes_anterior"}
 _LEGAL = {"juridico_ativo", "juridico_passivo"}
 LIVE_COLUMNS = [*CORE_COLUMNS, *COUNT_COLUMNS, "valor_a_receber"]
 CLOSE_COLUMNS = [*CORE_COLUMNS, "distrato_apos_fechamento", *COUNT_COLUMNS, "valor_a_receber"]
@@ -94,24 +93,21 @@ def live_core(
     wanted = set(columns)
     ceded = C.cession_old_side(erp.history, portfolio)
     receipts = L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.end, window.month_start)
-    open_rows = L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start)
+    month = (window.previous_month_start, window.month_start)
+    open_rows = L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start, month)
 
     def valued() -> DataFrame:
         valuation = L.valuation_by_instalment(erp.valuations, portfolio)
         return L.receivables_by_sale(open_rows, valuation, portfolio, window.as_of)
 
-    def previous_month() -> DataFrame:
-        return L.previous_month_open(erp.receivables, portfolio, window.previous_month_start, window.month_start)
-
-    candidates = _with_receipts(_sales(erp, portfolio), receipts).join(ceded, SALE_KEY, "left")
+    candidates = _with_receipts(_sales(erp, portfolio), receipts.withColumn("recebeu", F.lit(1))).join(ceded, SALE_KEY, "left")
     members = C.without_cancelled(C.keep_members(candidates, portfolio), erp.cancellations)
     joined = _join_parts(
         members,
         [
             (bool(wanted & _VALUED), valued),
-            (not wanted & _VALUED and bool(wanted & _OVERDUE), lambda: L.overdue_by_sale(open_rows, window.as_of)),
+            (not wanted & _VALUED and bool(wanted & _MARKED), lambda: L.overdue_by_sale(open_rows, window.as_of)),
             (bool(wanted & _NEW_SIDE), lambda: C.cession_new_side(erp.history, portfolio)),
-            (bool(wanted & _PREVIOUS_MONTH), previous_month),
             (bool(wanted & _LEGAL), lambda: C.legal_by_sale(erp.occurrences)),
         ],
     )
@@ -126,26 +122,20 @@ def close_core(
     columns = columns or CLOSE_COLUMNS
     wanted = set(columns)
     ceded = C.cession_old_side(erp.history, portfolio)
-    receipts = L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.cutoff, window.month_start)
+    receipts = L.close_window_receipts(
+        erp.receipts, ceded, portfolio, window.start, window.cutoff, window.month_start
+    )
     paid = L.paid_before(erp.receipts, portfolio, window.cutoff)
-    open_rows = L.drop_paid(L.open_by_instalment(erp.receivables, portfolio, window.cutoff, window.start), paid)
+    month = (window.previous_month_start, window.month_start)
+    rows = L.open_by_instalment(erp.receivables, portfolio, window.cutoff, window.start, month)
+    open_rows = L.drop_paid(rows, paid)
 
     def valued() -> DataFrame:
         valuation = L.valuation_by_instalment(erp.valuations, portfolio)
         return L.receivables_by_sale(open_rows, valuation, portfolio, window.last_day)
 
-    def previous_month() -> DataFrame:
-        first, following = window.previous_month_start, window.month_start
-        return L.previous_month_open_asof(erp.receivables, erp.receipts, portfolio, first, following, window.cutoff)
-
-    def late_payers() -> DataFrame:
-        return L.due_before_paid_after(erp.receipts, portfolio, window.cutoff, "paga_depois")
-
-    def overdue_at_launch() -> DataFrame:
-        return L.due_before_paid_after(erp.receipts, portfolio, window.start, "pagou_vencida_antes")
-
     candidates = (
-        _with_receipts(_sales(erp, portfolio), receipts.drop("pagou_vencida_antes"))
+        _with_receipts(_sales(erp, portfolio), receipts)
         .join(ceded, SALE_KEY, "left")
         .join(C.cancellation_latest(erp.cancellations), SALE_KEY, "left")
     )
@@ -156,11 +146,8 @@ def close_core(
         C.without_cancelled_before(members, erp.cancellations, window.cutoff),
         [
             (bool(wanted & _VALUED), valued),
-            (not wanted & _VALUED and bool(wanted & _OVERDUE), lambda: L.overdue_by_sale(open_rows, window.last_day)),
-            (bool(wanted & _OVERDUE), late_payers),
-            ("inad_junho" in wanted, overdue_at_launch),
+            (not wanted & _VALUED and bool(wanted & _MARKED), lambda: L.overdue_by_sale(open_rows, window.last_day)),
             (bool(wanted & _NEW_SIDE), lambda: C.cession_new_side(erp.history, portfolio)),
-            (bool(wanted & _PREVIOUS_MONTH), previous_month),
             (bool(wanted & _LEGAL), lambda: C.legal_by_sale(erp.occurrences)),
         ],
     )

@@ -147,9 +147,17 @@ def with_unit(df: DataFrame, units: DataFrame, portfolio: Portfolio) -> DataFram
 
 
 def with_product(df: DataFrame, products: DataFrame) -> DataFrame:
-    """Active product of the unit; a sale without one keeps its row."""
-    active = products.where("status = 1").select(F.col("produto").alias("produto_unidade"), "produto_nome")
-    return df.join(active, "produto_unidade", "left")
+    """Active product of the unit; a sale without one keeps its row.
+
+    Sales without a unit get a key of their own that no product has, so they do
+    not all meet on the null key.
+    """
+    active = products.where("status = 1 and produto is not null").select(
+        F.struct(F.col("produto").alias("produto"), F.lit(None).cast("long").alias("sem")).alias("_chave"), "produto_nome"
+    )
+    alone = F.when(F.col("produto_unidade").isNull(), F.xxhash64(*SALE_KEY))
+    keyed = df.withColumn("_chave", F.struct(F.col("produto_unidade").alias("produto"), alone.alias("sem")))
+    return keyed.join(active, "_chave", "left").drop("_chave")
 
 
 def with_client(df: DataFrame, people: DataFrame) -> DataFrame:
@@ -223,7 +231,7 @@ def legal_by_sale(occurrences: DataFrame) -> DataFrame:
     into every sale, so this side joins on the key the sales are already
     partitioned by. Only documents that spell the key exactly are kept.
     """
-    pattern = r"(?s)^VENDAS (\d{1,18})-(.*)$"
+    pattern = r"(?s)^VENDAS (\d+)-(.*)$"
     keyed = legal_by_document(occurrences).withColumns(
         {
             "num_venda": F.regexp_extract("documento", pattern, 1).try_cast("long"),
@@ -342,41 +350,40 @@ def keep_members(df: DataFrame, portfolio: Portfolio, *more: Column) -> DataFram
     return df.where(member & ~F.col("empresa").isin(*portfolio.excluded_companies))
 
 
-def resolve_cession_chain(history: DataFrame, portfolio: Portfolio, max_depth: int = 65536) -> DataFrame:
+def resolve_cession_chain(history: DataFrame, portfolio: Portfolio) -> DataFrame:
     """Each ceded sale walked along its cessions to the sale in force.
 
-    Pointer doubling: a round joins every link with the link its end points at,
-    so the reach doubles per round and a chain of n sales needs log2(n) of them.
-    Rounds are cut at checkpoints, so a lost executor replays one round. Links
-    still open after ``max_depth`` steps are cycles; they come back with a null
-    end and depth. The loop reads one count per round and collects no rows.
+    Pointer doubling: a round joins every open link with the link its end points
+    at, so the reach doubles per round; links that have reached an end are set
+    aside and only looked up. A chain with links left to walk finishes some in
+    every round, so a round that finishes none leaves cycles only; they come back
+    with a null end and depth. Rounds are cut at checkpoints, so a lost executor
+    replays one round. The loop reads no rows.
     """
+    key, end = ["empresa", "obra"], F.col("num_venda").alias("fim")
     step = cession_latest(history, portfolio).where("venda_nova is not null")
-    links = _stored(step.select(*SALE_KEY, F.col("venda_nova").alias("fim"), F.lit(1).alias("passos")))
-    reach = 1
-    while reach < max_depth:
-        onward = links.select(
-            "empresa", "obra", F.col("num_venda").alias("fim"), F.col("fim").alias("_fim"), F.col("passos").alias("_passos")
+    links = _stored(step.select(*SALE_KEY, F.col("venda_nova").alias("fim"), F.lit(1).cast("long").alias("passos")))
+    starts = links.select(*key, end)
+    done = links.join(starts, [*key, "fim"], "left_anti").select(*SALE_KEY, "fim", "passos")
+    open_ = links.join(starts, [*key, "fim"], "left_semi").select(*SALE_KEY, "fim", "passos")
+    done, open_ = _stored(done), _stored(open_)
+    while not open_.isEmpty():
+        ahead = done.withColumn("_acabou", F.lit(True)).unionByName(open_.withColumn("_acabou", F.lit(False)))
+        onward = ahead.select(
+            *key, end, F.col("fim").alias("_fim"), F.col("passos").alias("_passos"), "_acabou"
         )
-        joined = links.join(onward, ["empresa", "obra", "fim"], "left")
-        moved = joined.select(
-            *SALE_KEY,
-            F.coalesce("_fim", "fim").alias("fim"),
-            (F.col("passos") + F.coalesce("_passos", F.lit(0))).alias("passos"),
-            F.col("_fim").isNotNull().alias("_andou"),
+        moved = _stored(
+            open_.join(onward, [*key, "fim"]).select(
+                *SALE_KEY, F.col("_fim").alias("fim"), (F.col("passos") + F.col("_passos")).alias("passos"), "_acabou"
+            )
         )
-        moved = _stored(moved)
-        links = moved.drop("_andou")
-        reach *= 2
-        if moved.where("_andou").isEmpty():
+        finished = moved.where("_acabou").drop("_acabou")
+        if finished.isEmpty():
             break
-    starts = links.select("empresa", "obra", F.col("num_venda").alias("fim"), F.lit(True).alias("_aberto"))
-    ended = links.join(starts, ["empresa", "obra", "fim"], "left")
-    return ended.select(
-        *SALE_KEY,
-        F.when(F.col("_aberto").isNull(), F.col("fim")).alias("venda_vigente"),
-        F.when(F.col("_aberto").isNull(), F.col("passos").cast("long")).alias("profundidade"),
-    )
+        done, open_ = done.unionByName(finished), moved.where("not _acabou").drop("_acabou")
+    return done.unionByName(
+        open_.withColumns({"fim": F.lit(None).cast(links.schema["fim"].dataType), "passos": F.lit(None).cast("long")})
+    ).select(*SALE_KEY, F.col("fim").alias("venda_vigente"), F.col("passos").alias("profundidade"))
 
 
 def _stored(df: DataFrame) -> DataFrame:

@@ -23,11 +23,23 @@ from lastro.schemas import INSTALMENT_KEY, SALE_KEY
 
 
 def open_by_instalment(
-    receivables: DataFrame, portfolio: Portfolio, overdue_before: date, campaign_start: date
+    receivables: DataFrame,
+    portfolio: Portfolio,
+    overdue_before: date,
+    campaign_start: date,
+    month: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """Rows, overdue rows and oldest overdue day of each instalment key."""
+    """Rows, overdue rows and oldest overdue day of each instalment key.
+
+    With ``month`` also a mark on non-fee instalments due from its first day to
+    before its second, so the ledger is read once for both questions.
+    """
     due = F.col("vencimento")
     overdue = due < F.lit(overdue_before)
+    marks = []
+    if month:
+        inside = (F.col("tipo") != portfolio.fee_type) & (due >= F.lit(month[0])) & (due < F.lit(month[1]))
+        marks = [F.max(F.when(inside, 1)).alias("mes_anterior")]
     return (
         in_universe(receivables, portfolio)
         .groupBy(*INSTALMENT_KEY)
@@ -36,6 +48,7 @@ def open_by_instalment(
             F.count_if(overdue).alias("vencidas"),
             F.min(F.when(overdue, due)).alias("mais_antiga"),
             F.max(F.when(due < F.lit(campaign_start), 1)).alias("antes_campanha"),
+            *marks,
         )
     )
 
@@ -65,22 +78,24 @@ def drop_paid(open_rows: DataFrame, paid: DataFrame) -> DataFrame:
     """Keep the counts of every instalment, but no overdue mark on the paid ones."""
     marked = open_rows.join(paid.withColumn("_paga", F.lit(True)), INSTALMENT_KEY, "left")
     unpaid = F.col("_paga").isNull()
+    marks = [c for c in ("mais_antiga", "antes_campanha", "mes_anterior") if c in open_rows.columns]
     return marked.withColumns(
         {
             "vencidas": F.when(unpaid, F.col("vencidas")).otherwise(F.lit(0)),
-            "mais_antiga": F.when(unpaid, F.col("mais_antiga")),
-            "antes_campanha": F.when(unpaid, F.col("antes_campanha")),
+            **{c: F.when(unpaid, F.col(c)) for c in marks},
         }
     ).drop("_paga")
 
 
 def overdue_by_sale(open_rows: DataFrame, reference_day: date) -> DataFrame:
     """Overdue marks only; needs no valuation."""
-    return open_rows.groupBy(*SALE_KEY).agg(*_overdue_marks(reference_day))
+    return open_rows.groupBy(*SALE_KEY).agg(*_overdue_marks(open_rows, reference_day))
 
 
-def _overdue_marks(reference_day: date) -> list[Column]:
+def _overdue_marks(open_rows: DataFrame, reference_day: date) -> list[Column]:
+    month = [F.max("mes_anterior").alias("mes_anterior_aberto")] if "mes_anterior" in open_rows.columns else []
     return [
+        *month,
         F.max(F.when(F.col("vencidas") > 0, 1)).alias("inadimplente"),
         F.max("antes_campanha").alias("aberta_antes_campanha"),
         F.datediff(F.lit(reference_day), F.min("mais_antiga")).cast("long").alias("dias_atraso"),
@@ -110,7 +125,7 @@ def receivables_by_sale(
             for kind in INSTALMENT_TYPES
         ),
         F.sum(F.when(not_fee, F.col("linhas") * F.col("soma_parcela")).otherwise(zero_amount())).alias("valor_a_receber"),
-        *_overdue_marks(reference_day),
+        *_overdue_marks(open_rows, reference_day),
         overdue_sum("soma_vencido").alias("valor_inadimplente"),
         overdue_sum("soma_juros").alias("valor_juros_inadimplencia"),
         overdue_sum("soma_multa").alias("valor_multa_inadimplencia"),
@@ -216,6 +231,63 @@ def campaign_receipts(
     return receipts_by_sale(before_cession(daily, ceded), month_start)
 
 
+def close_window_receipts(
+    receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, start: date, cutoff: date, month_start: date
+) -> DataFrame:
+    """Everything a close asks of the receipts, in one pass: per sale the window's
+    totals, ``recebeu`` where a receipt counts in them, and the marks of those who
+    owed something before the cutoff, or before the start, and paid it after.
+
+    The cession cut applies to the totals only.
+    """
+    due, paid = F.col("vencimento"), F.col("pago_em")
+    counted = (paid >= F.lit(start)) & (paid < F.lit(cutoff)) & (F.col("tipo") != portfolio.fee_type)
+    after = (due < F.lit(cutoff)) & (paid >= F.lit(cutoff))
+    launch = (due < F.lit(start)) & (paid >= F.lit(start))
+    ahead, late = F.last_day(paid) < F.last_day(due), paid > due
+    rows = in_universe(receipts, portfolio).where(counted | after | launch)
+    rows = rows.withColumns({"cheio": full_amount(), "base": base_amount()})
+
+    def total(amount: Column) -> Column:
+        return F.sum(F.when(counted, amount))
+
+    daily = rows.groupBy(*SALE_KEY, "pago_em").agg(
+        F.max(F.when(counted, 1)).alias("contado"),
+        total(F.col("cheio")).alias("cheio"),
+        total(F.col("base")).alias("base"),
+        F.max(F.when(counted, F.when(ahead, 1).otherwise(0))).alias("antecipou"),
+        total(F.when(ahead, F.col("cheio")).otherwise(zero_amount())).alias("valor_antecipado"),
+        F.max(F.when(counted, F.when(late, 1).otherwise(0))).alias("recuperou"),
+        total(F.when(late, F.col("cheio")).otherwise(zero_amount())).alias("valor_recuperado"),
+        F.max(F.when(after, 1)).alias("paga_depois"),
+        F.max(F.when(launch, 1)).alias("pagou_vencida_antes"),
+    )
+    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_KEY, "left")
+    counts = (F.col("contado") == 1) & (F.col("_corte").isNull() | (paid < F.col("_corte")))
+    in_month = paid >= F.lit(month_start)
+
+    def within(value: Column) -> Column:
+        return F.when(counts, value)
+
+    def of_month(name: str) -> Column:
+        return F.sum(within(F.when(in_month, F.col(name)).otherwise(zero_amount())))
+
+    return cut.groupBy(*SALE_KEY).agg(
+        F.max(within(F.lit(1))).alias("recebeu"),
+        F.sum(within(F.col("cheio"))).alias("valor_recebido"),
+        F.sum(within(F.col("base"))).alias("valor_gera_cupom"),
+        of_month("base").alias("valor_cupom_mes"),
+        of_month("cheio").alias("valor_recebido_mes"),
+        F.max(within(F.col("antecipou"))).alias("antecipou"),
+        F.sum(within(F.col("valor_antecipado"))).alias("valor_antecipado"),
+        F.max(within(F.col("recuperou"))).alias("recuperou"),
+        F.sum(within(F.col("valor_recuperado"))).alias("valor_recuperado"),
+        F.max(within(paid)).alias("ultimo_recebimento"),
+        F.max("paga_depois").alias("paga_depois"),
+        F.max("pagou_vencida_antes").alias("pagou_vencida_antes"),
+    )
+
+
 def close_receipts(
     receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, month_start: date, cutoff: date, last_days: int = 2
 ) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastro.functions.ratios import ratio, totals
-from lastro.functions.text import is_one, is_yes, normalize_status
+from lastro.functions.ratios import ratio
+from lastro.functions.text import fold_accents, is_one, is_yes, normalize_status
 from lastro.params import RefreshSchedule
 from lastro.schemas import GRAIN_KEY, MANDATORY, SALE_KEY
 
@@ -65,34 +67,41 @@ def validate_contract(df: DataFrame, tolerated: float = 0.01) -> DataFrame:
     return report(row, checks)
 
 
-def structural_checks(official: DataFrame, first_month: bool) -> DataFrame:
-    """Checks a closed base must pass before lists are drawn from it."""
+def _structure(official: DataFrame) -> DataFrame:
+    """One row with everything the structural checks and the diagnosis ask."""
     settled, ceded = is_yes(F.col("contrato_quitado")), is_yes(F.col("contrato_cedido"))
     status = normalize_status(F.col("status_sorteio"))
+    ruler = normalize_status(F.col("aptidao_sorteio"))
     after_close = is_one(F.col("distrato_apos_fechamento"))
+    monthly = (normalize_status(F.col("aptidao_casas")) == "APTO") & (F.col("cupons_casas") > 0)
+    final = (ruler == "APTO") & (F.col("cupons_milhao") > 0)
+    sums = {
+        "divergentes": F.count_if(status != ruler),
+        "com_regua": F.count_if(ruler != ""),
+        "resgatadas": F.count_if(settled | ceded),
+        "distratadas": F.count_if(after_close),
+        "distratadas_aptas": F.count_if(after_close & (status != "NAO APTO")),
+        "negativos": F.count_if((F.col("cupons_casas") < 0) | (F.col("cupons_milhao") < 0)),
+        "casas": F.sum("cupons_casas"),
+        "milhao": F.sum("cupons_milhao"),
+        "eleg_casas": F.count_if(monthly),
+        "eleg_cupons_casas": F.sum(F.when(monthly, F.col("cupons_casas"))),
+        "eleg_milhao": F.count_if(final),
+        "eleg_cupons_milhao": F.sum(F.when(final, F.col("cupons_milhao"))),
+    }
     marked = official.groupBy("codempresa", "codobra", "venda").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(status != normalize_status(F.col("aptidao_sorteio"))).alias("divergentes"),
-        F.count_if(normalize_status(F.col("aptidao_sorteio")) != "").alias("com_regua"),
-        F.count_if(settled | ceded).alias("resgatadas"),
-        F.count_if(after_close).alias("distratadas"),
-        F.count_if(after_close & (status != "NAO APTO")).alias("distratadas_aptas"),
-        F.count_if((F.col("cupons_casas") < 0) | (F.col("cupons_milhao") < 0)).alias("negativos"),
-        F.sum("cupons_casas").alias("casas"),
-        F.sum("cupons_milhao").alias("milhao"),
+        F.count(F.lit(1)).alias("n"), *(value.alias(name) for name, value in sums.items())
     )
-    row = marked.agg(
-        F.sum(F.col("n") - 1).alias("duplicadas"),
-        *(
-            F.sum(c).alias(c)
-            for c in (
-                "divergentes", "com_regua", "resgatadas", "distratadas", "distratadas_aptas", "negativos", "casas", "milhao",
-            )
-        ),
-    )
+    return marked.agg(
+        F.sum("n").alias("base"), F.sum(F.col("n") - 1).alias("duplicadas"), *(F.sum(c).alias(c) for c in sums)
+    )
+
+
+def _structural(first_month: bool) -> list[tuple[str, Column, Column]]:
+    """Checks over the row of ``_structure``."""
     gap = F.abs(F.col("milhao") - F.col("casas"))
     no_ruler = F.coalesce(F.col("com_regua"), F.lit(0)) == 0
-    checks = [
+    return [
         ("4.1 chaves duplicadas", F.col("duplicadas"), level(F.col("duplicadas") > 0, FAILURE)),
         ("4.2 status diferente da regua", F.col("divergentes"), level(no_ruler | (F.col("divergentes") > 0), FAILURE)),
         ("4.3 resgatadas", F.col("resgatadas"), F.lit(INFO)),
@@ -104,31 +113,27 @@ def structural_checks(official: DataFrame, first_month: bool) -> DataFrame:
         ("4.5 milhao menos casas", gap, level(gap >= 1, FAILURE) if first_month else F.lit(INFO)),
         ("4.6 cupons negativos", F.col("negativos"), level(F.col("negativos") > 0, FAILURE)),
     ]
-    return report(row, checks)
+
+
+def structural_checks(official: DataFrame, first_month: bool) -> DataFrame:
+    """Checks a closed base must pass before lists are drawn from it."""
+    return report(_structure(official), _structural(first_month))
 
 
 def one_line_diagnosis(official: DataFrame, month: str, first_month: bool) -> DataFrame:
-    """The run in one row: failures, base size, both lists."""
-    failures = totals(structural_checks(official, first_month), n=F.count_if(F.col("nivel") == FAILURE))["n"]
-    monthly = (normalize_status(F.col("aptidao_casas")) == "APTO") & (F.col("cupons_casas") > 0)
-    final = (normalize_status(F.col("aptidao_sorteio")) == "APTO") & (F.col("cupons_milhao") > 0)
-    row = official.agg(
-        F.count(F.lit(1)).alias("base"),
-        F.count_if(monthly).alias("casas"),
-        F.coalesce(F.sum(F.when(monthly, F.col("cupons_casas"))), F.lit(0)).alias("cupons_casas"),
-        F.count_if(final).alias("milhao"),
-        F.coalesce(F.sum(F.when(final, F.col("cupons_milhao"))), F.lit(0)).alias("cupons_milhao"),
-    )
+    """The run in one row: failures, base size, both lists. The base is read once."""
+    failed = [F.when(state == FAILURE, 1).otherwise(0) for _, _, state in _structural(first_month)]
+    failures = sum(failed[1:], failed[0])
+
+    def number(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
+
     text = F.format_string(
         f"DIAGNOSTICO {month}: %s | base %d | casas %d eleg/%d cupons | milhao %d/%d",
         F.when(failures > 0, F.concat(failures.cast("string"), F.lit(" FALHAS"))).otherwise("OK"),
-        "base",
-        "casas",
-        "cupons_casas",
-        "milhao",
-        "cupons_milhao",
+        *map(number, ("base", "eleg_casas", "eleg_cupons_casas", "eleg_milhao", "eleg_cupons_milhao")),
     )
-    return row.select(text.alias("diagnostico"))
+    return _structure(official).select(text.alias("diagnostico"))
 
 
 # Freshness ------------------------------------------------------------------
@@ -221,17 +226,22 @@ def client_lookup(
 ) -> DataFrame:
     """Every contract row of the clients that match any given search term.
 
-    The clients found are joined back to the frame, so a client found through one
-    sale comes with all of them, one row each.
+    The clients found are looked up in the frame, so a client found through one
+    sale comes with all of them, one row each; a contract without a tax id comes
+    by itself. Terms may be formatted: tax ids and phones are compared by their
+    digits, names without accents and case.
     """
     digits = F.regexp_replace("telefone", r"\D", "")
+    ids = F.regexp_replace("cpf_titular", r"\D", "")
+    wanted_id, wanted_phone = (re.sub(r"\D", "", term or "") for term in (tax_id, phone))
+    wanted_name = F.upper(F.trim(fold_accents(F.lit(name or ""))))
     terms = [
         condition
         for value, condition in (
-            (tax_id, F.col("cpf_titular") == tax_id),
-            (name, F.upper("nome_cliente").contains((name or "").upper())),
-            (phone, digits.endswith(phone or "")),
-            (sale, F.col("num_venda") == sale),
+            (wanted_id, ids == wanted_id.zfill(11)),
+            ((name or "").strip(), F.upper(fold_accents(F.col("nome_cliente"))).contains(wanted_name)),
+            (wanted_phone, digits.endswith(wanted_phone)),
+            ((sale or "").strip(), F.col("num_venda") == (sale or "").strip()),
         )
         if value
     ]
@@ -240,7 +250,10 @@ def client_lookup(
     found = terms[0]
     for term in terms[1:]:
         found = found | term
-    clients = df.where(F.coalesce(found, F.lit(False))).select("cpf_titular").distinct()
-    return df.join(clients, "cpf_titular").select(
-        "cpf_titular", "nome_cliente", *SALE_KEY, "cidade", "status_elegibilidade", "cupons_calculados", "valor_total_recebido"
-    )
+    matched = F.coalesce(found, F.lit(False))
+    clients = df.where(matched & F.col("cpf_titular").isNotNull()).select("cpf_titular").distinct()
+    rows = df.join(clients, "cpf_titular", "left_semi").unionByName(df.where(matched & F.col("cpf_titular").isNull()))
+    return rows.select(
+        "cpf_titular", "nome_cliente", *SALE_KEY, "cidade", "status_cadastro", "status_elegibilidade",
+        "cupons_calculados", "cupons_oficiais", "valor_total_recebido",
+    )

@@ -379,7 +379,7 @@ def membership_rule(spark, sf):
             select {KEY}, venda_nova as fim, cast(1 as bigint) as passos from elo
             union all
             select w.empresa, w.obra, w.num_venda, e.venda_nova, w.passos + 1 from walk w
-            join elo e on e.empresa = w.empresa and e.obra = w.obra and e.num_venda = w.fim where w.passos < 64)
+            join elo e on e.empresa = w.empresa and e.obra = w.obra and e.num_venda = w.fim where w.passos <= (select count(*) from elo))
           select * from walk)""",
     ),
 )

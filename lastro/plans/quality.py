@@ -190,12 +190,13 @@ def calculated_vs_official(spark, sf):
 @section.query(
     "client_lookup",
     with_contract(
-        f"""select cpf_titular, nome_cliente, empresa, obra, num_venda, cidade, status_elegibilidade, cupons_calculados,
-        {dbl("valor_total_recebido")} from contrato where cpf_titular in (
+        f"""select cpf_titular, nome_cliente, empresa, obra, num_venda, cidade, status_cadastro, status_elegibilidade,
+        cupons_calculados, cupons_oficiais, {dbl("valor_total_recebido")} from contrato where cpf_titular in (
           select cpf_titular from contrato where cpf_titular = '00000000042' or nome_cliente like '%#00000007%'
-            or telefone like '%17' or num_venda = '99')"""
+            or telefone like '%17' or num_venda = '99') or (cpf_titular is null and
+          (nome_cliente like '%#00000007%' or telefone like '%17' or num_venda = '99'))"""
     ),
 )
 def client_lookup(spark, sf):
     frame = S.contract_frame(spark, sf)
-    return Q.client_lookup(frame, tax_id="00000000042", name="#00000007", phone="17", sale="99")
+    return Q.client_lookup(frame, tax_id="000.000.000-42", name="#00000007", phone="17", sale="99")

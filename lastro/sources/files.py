@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,10 +51,12 @@ def named(name: str) -> Column:
 
 def read_snapshot_dir(spark: SparkSession, path: str) -> DataFrame:
     """All part files of a Parquet directory; an empty directory is an error."""
-    df = spark.read.parquet(path)
-    if not df.inputFiles():
-        raise ValueError(f"no part file in {path}")
-    return df
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        raise ValueError(f"no part file in {path}") from error
 
 
 def read_snapshot(spark: SparkSession, lake_path: str, override: str | None = None) -> DataFrame:
@@ -114,7 +117,7 @@ def read_export_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         sep=separator,
         encoding=encoding,
         header=True,
-        enforceSchema=True,
+        enforceSchema=False,  # a part file with another header is an error, never read by position
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
         multiLine=multi_line,

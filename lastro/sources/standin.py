@@ -10,13 +10,12 @@ successor inside the same development.
 from __future__ import annotations
 
 from datetime import date
-from functools import lru_cache, partial
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastro.params import Campaign, CloseWindow, LiveWindow, Portfolio
-from lastro.sources.scan import spread
 from lastro.sources.tables import Erp
 
 PORTFOLIO = Portfolio(city_alias=(("NATION_9", "NATION_8"),))
@@ -27,22 +26,9 @@ CAMPAIGN = Campaign(date(1998, 7, 1), date(1998, 12, 31))
 TEST_CLIENT = "#00000010"
 
 
-# Unique column of each large table, to spread a scan of too few splits by.
-_SPREAD_BY = {
-    "orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "events": "event_id",
-    "documents": "doc_id",
-}
-
-
-@lru_cache(maxsize=64)
-def _open(spark: SparkSession, application: str, path: str, spread_by: str | None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df, spread_by) if spread_by else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, opened (listed, schema read) once per application."""
-    return _open(spark, spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet", _SPREAD_BY.get(name))
+    """A test table, read with the splits its files give."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _key(order: str) -> list[str]:

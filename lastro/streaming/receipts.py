@@ -1,8 +1,10 @@
 """Receipts as a stream: daily sums, coupons per contract, late postings.
 
 Every micro-batch writes its own folder, named by its batch id, so a replayed
-batch replaces what it wrote and readers see each result once. State that must
-survive (daily sums) is Spark's own checkpointed state; nothing is collected.
+batch replaces what it wrote and readers see each result once. Where rows replace
+earlier rows of their key, the folder holds all current rows: a reader opens the
+last one only. State that must survive (daily sums) is Spark's own checkpointed
+state; nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -38,11 +40,56 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
-    """Process what is there, then stop. The same call resumes from the checkpoint."""
+def _versions(spark: SparkSession, path: str) -> dict[int, object]:
+    """Complete batch folders of a sink, by batch id."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return {}
+    found = {}
+    for status in store.listStatus(folder):
+        name, _, number = status.getPath().getName().partition("=")
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name == BATCH and store.exists(done):
+            found[int(number)] = status.getPath()
+    return found
+
+
+def upsert_folder(path: str, key: list[str]) -> Callable[[DataFrame, int], None]:
+    """Sink: the batch's rows replace those of the same key; null keys are a key.
+
+    A batch writes the current rows as a new folder on top of the newest one before
+    it, so a replayed batch starts from the same rows again. Folders older than
+    that one are removed.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        versions = {n: place for n, place in _versions(spark, path).items() if n < batch_id}
+        rows = batch
+        if versions:
+            before = spark.read.parquet(versions[max(versions)].toString())
+            same = F.struct(*key).alias("_chave")
+            kept = before.withColumn("_chave", same).join(batch.select(same), "_chave", "left_anti").drop("_chave")
+            rows = kept.unionByName(batch)
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        for number in sorted(versions)[:-1]:
+            place = versions[number]
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    return write
+
+
+def run_available(
+    df: DataFrame, path: str, checkpoint: str, mode: str, key: list[str] | None = None
+) -> StreamingQuery:
+    """Process what is there, then stop. The same call resumes from the checkpoint.
+
+    With ``key`` the sink keeps one current row per key, else all rows of all batches.
+    """
     query = (
         df.writeStream.outputMode(mode)
-        .foreachBatch(batch_folder(path))
+        .foreachBatch(upsert_folder(path, key) if key else batch_folder(path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -51,26 +98,20 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str) -> Strea
     return query
 
 
-def latest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    """Newest row per key over all batches of an update-mode sink."""
-    rows = spark.read.parquet(path)
-    newest = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(BATCH)))
-    return rows.withColumn("_n", newest).where("_n = 1").drop("_n", BATCH)
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of an upserting sink: its newest folder."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(versions[max(versions)].toString())
 
 
-def daily_sums(stream: DataFrame, ts: str, value: str, lateness: str = "2 days") -> DataFrame:
-    """Count and money per event day; days older than the watermark are closed.
+def daily_sums(stream: DataFrame, ts: str, value: str) -> DataFrame:
+    """Count and money per event day, however late a receipt is posted.
 
-    Watermarks need an instant, so a zone-less time is read as UTC whatever the
-    session's zone, and the window's start is turned back the same way.
+    No watermark: postings come up to weeks late and must count. The state is one
+    row per day, so it stays small without closing days.
     """
-    instant = F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
-    marked = stream.withColumn("_instante", instant).withWatermark("_instante", lateness)
-    grouped = marked.groupBy(F.window("_instante", "1 day").alias("dia"))
-    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("dia.start").cast("timestamp_ntz"))
-    return grouped.agg(F.count(F.lit(1)).alias("recebimentos"), F.sum(value).alias("valor")).select(
-        start.cast("date").alias("dia"), "recebimentos", "valor"
-    )
+    day = F.col(ts).cast("timestamp_ntz").cast("date")
+    return stream.groupBy(day.alias("dia")).agg(F.count(F.lit(1)).alias("recebimentos"), F.sum(value).alias("valor"))
 
 
 def contract_totals(stream: DataFrame, contract: str, value: str) -> DataFrame:
@@ -79,8 +120,8 @@ def contract_totals(stream: DataFrame, contract: str, value: str) -> DataFrame:
     return stream.groupBy(contract).agg(F.sum(value).alias("valor"))
 
 
-def contract_coupons(spark: SparkSession, path: str, contract: str) -> DataFrame:
-    return latest(spark, path, [contract]).withColumn("cupons", coupons(F.col("valor")))
+def contract_coupons(spark: SparkSession, path: str) -> DataFrame:
+    return current(spark, path).withColumn("cupons", coupons(F.col("valor")))
 
 
 def route_late(stream: DataFrame, ts: str, cutoff: date) -> DataFrame:

@@ -96,8 +96,8 @@ def test_stream_totals_survive_a_restart_and_reversals(spark, tmp_path):
 
     def run():
         stream = X.read_stream(spark, folder, schema)
-        X.run_available(X.contract_totals(stream, "contrato", "valor"), sink, state, "update")
-        return {r.contrato: r.cupons for r in X.contract_coupons(spark, sink, "contrato").collect()}
+        X.run_available(X.contract_totals(stream, "contrato", "valor"), sink, state, "update", ["contrato"])
+        return {r.contrato: r.cupons for r in X.contract_coupons(spark, sink).collect()}
 
     assert run() == {1: 2, 2: 0}
     feed(spark, folder, [(1, noon, -100), (2, noon, 20), (3, noon, -50)])
@@ -113,8 +113,34 @@ def test_stream_days_do_not_follow_the_session_zone(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
         sums = X.daily_sums(X.read_stream(spark, folder, schema), "ts", "valor")
-        X.run_available(sums, f"{tmp_path}/out", f"{tmp_path}/state", "update")
-        rows = X.latest(spark, f"{tmp_path}/out", ["dia"]).collect()
+        X.run_available(sums, f"{tmp_path}/out", f"{tmp_path}/state", "update", ["dia"])
+        rows = X.current(spark, f"{tmp_path}/out").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [(r.dia, r.recebimentos, r.valor) for r in rows] == [(date(2026, 7, 2), 2, 15)]
+
+
+def test_daily_sums_count_receipts_posted_ten_days_late(spark, tmp_path):
+    feeds = [[(1, datetime(2026, 7, 1, 9, 0), 50)], [(2, datetime(2026, 7, 20, 9, 0), 10)],
+             [(3, datetime(2026, 7, 10, 9, 0), 70), (4, datetime(2026, 7, 1, 9, 0), 30)]]
+    folder, sink = f"{tmp_path}/in", f"{tmp_path}/out"
+    for rows in feeds:
+        feed(spark, folder, rows)
+        stream = X.read_stream(spark, folder, spark.read.parquet(folder).schema)
+        X.run_available(X.daily_sums(stream, "ts", "valor"), sink, f"{tmp_path}/state", "update", ["dia"])
+    batch = X.daily_sums(spark.read.parquet(folder), "ts", "valor")
+    assert sorted(map(tuple, X.current(spark, sink).collect())) == sorted(map(tuple, batch.collect()))
+    assert len(X._versions(spark, sink)) <= 2
+
+
+def test_lookup_finds_contracts_without_a_tax_id(spark):
+    names = ["cpf_titular", "nome_cliente", "empresa", "obra", "num_venda", "cidade", "status_cadastro",
+             "status_elegibilidade", "telefone"]
+    rows = [(None, "José", "1", "65001", "99", "A", "x", "APTO", "1"), ("12345678900", "Ana", "1", "65001", "7", "A", "x", "APTO", "62912345678")]
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).withColumns(
+        {"cupons_calculados": F.lit(1), "cupons_oficiais": F.lit(1), "valor_total_recebido": F.lit(1.0)}
+    )
+    assert [r.num_venda for r in Q.client_lookup(frame, sale="99").collect()] == ["99"]
+    assert [r.num_venda for r in Q.client_lookup(frame, tax_id="123.456.789-00").collect()] == ["7"]
+    assert [r.num_venda for r in Q.client_lookup(frame, phone="(62) 91234-5678").collect()] == ["7"]
+    assert [r.num_venda for r in Q.client_lookup(frame, name="JOSE").collect()] == ["99"]

@@ -39,6 +39,16 @@ def test_failed_amounts_are_counted(spark):
     assert values(spark, texts, M.ingest_failed) == [False, True, False, False]
 
 
+def test_amounts_of_twenty_digits_are_read(spark):
+    texts = ["R$ 12.345.678.901.234.567.890,25"]
+    for parse in (M.parse_ingest, M.parse_export, M.parse_signed, M.parse_digits):
+        assert [str(v) for v in values(spark, texts, parse)] == ["12345678901234567890.2500"]
+
+
+def test_all_composed_letters_are_folded(spark):
+    assert values(spark, ["\u1ea0\u1e3f\u00e9\u01d8"], X.fold_accents) == ["Ameu"]
+
+
 def test_days_in_two_spellings(spark):
     texts = ["31/07/2026", "20260731", "2026-07-31 10:00:00", "99/99/9999", "", None]
     assert values(spark, texts, D.parse_day_first) == [date(2026, 7, 31)] * 3 + [None] * 3
@@ -89,6 +99,13 @@ def test_exports_of_unknown_make(spark, tmp_path, encoding, separator, text):
     assert (row.CodEmpresa, row.Nome) == ("007", text)
 
 
+def test_a_part_with_another_column_order_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("codempresa;venda\n1;2\n")
+    (tmp_path / "b.csv").write_text("venda;codempresa\n200;1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_export_csv(spark, str(tmp_path)).collect()
+
+
 def test_single_column_export_is_refused(spark, tmp_path):
     path = tmp_path / "one.csv"
     path.write_text("a\n1\n")
