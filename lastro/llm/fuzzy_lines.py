@@ -178,9 +178,11 @@ def similar(a: set[str], b: set[str], similarity: float) -> bool:
     return both >= similarity * (small + large - both)
 
 
-def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
-    """Spanning links of exact Jaccard similarity, by breadth-first search over lines not yet reached."""
-    sets = [shingles(line, shape.shingle) for line in group.column("line").to_pylist()]
+#: Lines from which on a group is compared through numbered shingles. Both ways find the same components.
+MANY = 24
+
+
+def _few(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
     links: list[tuple[int, int]] = []
     unseen = list(range(len(sets)))
     while unseen:
@@ -188,7 +190,7 @@ def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
         while queue and unseen:
             node, rest = queue.pop(), []
             for other in unseen:
-                if similar(sets[node], sets[other], shape.similarity):
+                if similar(sets[node], sets[other], similarity):
                     links.append((node, other))
                     queue.append(other)
                 else:
@@ -197,6 +199,42 @@ def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
     return links
 
 
+def _many(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
+    """A line meets all others at once, by counting which of its numbered shingles they have.
+
+    Memory grows with the group's shingles, not with its pairs.
+    """
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    numbers: dict[str, int] = {}
+    every = (numbers.setdefault(shingle, len(numbers)) for each in sets for shingle in each)
+    codes = np.fromiter(every, dtype=np.int64, count=int(sizes.sum()))
+    starts = np.cumsum(sizes) - sizes
+    has = np.zeros(len(numbers), dtype=np.int16)
+    unseen = np.ones(len(sets), dtype=bool)
+    links: list[tuple[int, int]] = []
+    for seed in range(len(sets)):
+        if not unseen[seed]:
+            continue
+        unseen[seed], queue = False, [seed]
+        while queue and unseen.any():
+            node = queue.pop()
+            own = codes[starts[node] : starts[node] + sizes[node]]
+            has[own] = 1
+            both = np.add.reduceat(has[codes], starts, dtype=np.int64)
+            has[own] = 0
+            found = np.flatnonzero(unseen & (both >= similarity * (sizes + sizes[node] - both)))
+            unseen[found] = False
+            links += [(node, other) for other in found.tolist()]
+            queue += found.tolist()
+    return links
+
+
+def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Spanning links of exact Jaccard similarity, by breadth-first search over lines not yet reached."""
+    sets = [shingles(line, shape.shingle) for line in group.column("line").to_pylist()]
+    return (_few if len(sets) < MANY else _many)(sets, shape.similarity)
+
+
 def links(
     df: DataFrame, lines: DataFrame, text: str, shape: Banding = Banding(), block: int = BLOCK,
     sketch: Shape = Shape(bits=25, depth=1),

@@ -5,6 +5,7 @@ from functools import partial
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -170,6 +171,27 @@ def test_lines_equal_brute_force(spark):
         assert kept[i] == "\n".join(line for n, line in enumerate(text.split("\n")) if (i, n, i) not in gone)
 
 
+@pytest.mark.parametrize("count", [1, 2, fuzzy_lines.MANY - 1, fuzzy_lines.MANY, 200])
+def test_lines_of_one_bucket_are_linked_exactly(count):
+    """Few and many lines, also shorter than a shingle, with ties at the similarity, against all pairs."""
+    rng = random.Random(count)
+    shape = fuzzy_lines.Banding()
+    for length in (1, 8, 9, 40, 90):
+        stem = "".join(rng.choices("abcde ", k=length))
+        lines = []
+        for _ in range(count):
+            line = list(stem)
+            for _ in range(rng.randint(0, 3)):
+                line[rng.randrange(length)] = rng.choice("xyz")
+            lines.append("".join(line))
+        sets = [fuzzy_lines.shingles(line, shape.shingle) for line in lines]
+        brute = [(a, b) for a, b in combinations(range(count), 2) if fuzzy_lines.similar(sets[a], sets[b], 0.8)]
+        links = fuzzy_lines._alike(shape, pa.record_batch({"line": lines}))
+        where = roots(range(count), brute)
+        assert roots(range(count), links) == where
+        assert len(links) == count - len(set(where.values()))
+
+
 @pytest.mark.parametrize("block", [2, 5])
 def test_blocks_of_lines_lose_no_link(spark, block):
     line = " ".join(f"quick{i} brown fox {i} jumps" for i in range(12))
