@@ -44,7 +44,8 @@ def read_snapshot_override(spark, sf):
 
 @section.query("read_official_table", _ROWS)
 def read_official_table(spark, sf):
-    _snapshot(spark, sf).createOrReplaceTempView("base_oficial_07_1998")
+    """A month published as a catalog table and read by its name."""
+    files.publish_official_table(_snapshot(spark, sf), "base_oficial_07_1998", run_folder(spark, "oficial"))
     return files.read_official_table(spark, "base_oficial_07_1998").select(*_SHOWN)
 
 

@@ -65,6 +65,7 @@ def read_snapshot(spark: SparkSession, lake_path: str, override: str | None = No
 
 
 def read_official_table(spark: SparkSession, name: str) -> DataFrame:
+    """The catalog table of an official month."""
     return spark.read.table(name)
 
 
@@ -174,6 +175,11 @@ def publish_month(df: DataFrame, path: str, month: str) -> None:
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("anomes").parquet(path)
 
 
+def publish_official_table(df: DataFrame, name: str, path: str) -> None:
+    """A catalog table over files in a new folder; a table of that name is replaced, its old files stay."""
+    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+
+
 def archive_snapshot(snapshot: DataFrame, path: str, first: date, last: date, force: bool = False) -> None:
     """Dated copy of a photo; refused when it was taken outside [first, last]."""
     day = F.to_date("snapshot_gerado_em")

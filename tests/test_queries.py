@@ -16,6 +16,7 @@ CROSS_SECTION = [
     "received_total", "technical_receipt_new", "bronze_to_contract", "parse_money_export", "kpis_portfolio",
     "receipts_daily", "clients_weekday", "city_summary", "export_rollup", "reconciliation_summary",
     "diagnosis_text", "class_summary", "close_structural_checks", "refresh_window", "read_export_csv", "append_run_log",
+    "read_official_table",
 ]
 
 

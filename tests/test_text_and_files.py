@@ -138,6 +138,16 @@ def test_published_month_replaces_only_itself(spark, tmp_path):
     assert counts == {"2026_07": 2, "2026_08": 5}
 
 
+def test_official_table_is_replaced_and_old_readers_keep_their_rows(spark, tmp_path):
+    files.publish_official_table(spark.range(3), "oficial_teste", f"{tmp_path}/one")
+    before = files.read_official_table(spark, "oficial_teste")
+    files.publish_official_table(spark.range(5), "oficial_teste", f"{tmp_path}/two")
+    try:
+        assert (before.count(), files.read_official_table(spark, "oficial_teste").count()) == (3, 5)
+    finally:
+        spark.sql("drop table oficial_teste")
+
+
 def test_source_tables_are_renamed_and_days_pushed_down(spark, tmp_path):
     raw = spark.createDataFrame(
         [(1, "65001", 5, 1, 0, "P", date(2026, 7, 2))],
