@@ -5,7 +5,9 @@ lower case without punctuation. Windows of these tokens are hash-joined with tho
 benchmark. Matches that lie along one shift of a document against an item are put together
 and their placeholders compared: a question with other numbers or names still counts if
 each value of the item stands for one value of the document throughout, and no two for the
-same. Built-in functions only.
+same. Placeholders depend on capitals and on what stands before a word, so a text is read
+in forms that match each on their own: with names inside sentences as placeholders, and
+without names, for copies in other case or in other surroundings. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -21,10 +23,12 @@ WINDOW, NEED = 8, 6
 BROADCAST_ROWS = 1_000_000
 
 MARK = "\x02"
+#: Types of placeholders. No digits but the number's own, lest a name be taken for a number.
+NUMBERS, UNITS_, NAMES = MARK + "0", MARK + "u", MARK + "n"
 SPACE, NO_SPACE = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
 NUMBER = f"(^|{SPACE})({NO_SPACE}*[0-9])"
 #: A capitalised word that does not begin a sentence.
-NAME = "([^\\x20\\x09-\\x0D.!?]\\x20)([A-Z\\x{C0}-\\x{DE}])"
+NAME = f"([^\\x20\\x09-\\x0D.!?]{SPACE}+)([A-Z\\x{{C0}}-\\x{{DE}}])"
 # Units, in their usual spellings.
 UNITS = (
     "mm|cm|m|km|metres?|meters?|kilometres?|kilometers?|miles?|feet|foot|inch|inches|yards?|mg|g|kg|grams?|kilograms?"
@@ -32,7 +36,7 @@ UNITS = (
     "|weeks?|months?|years?|degrees?|percent|dollars?|cents?|euros?|usd|eur|gbp|hz|khz|mhz|ghz|w|kw|mw|v|a|j|kj|n|pa"
     "|kpa|bytes?|kb|mb|gb|tb|mph|kmh"
 )
-UNIT = f"({MARK}0{NO_SPACE}*\\x20)({UNITS})([^a-z]|$)"
+UNIT = f"({NUMBERS}{NO_SPACE}*{SPACE}+)(?:{NAMES})?({UNITS})([^a-z]|$)"
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&-_/\\`~^+=@"
 
 
@@ -40,12 +44,26 @@ def valued(text: Column) -> Column:
     """Tokens in lower case without punctuation; a placeholder is MARK, its type and its value."""
     text = F.coalesce(text, F.lit(""))
     text = F.when(F.instr(text, F.lit(MARK)) > 0, F.replace(text, F.lit(MARK))).otherwise(text)
-    text = F.regexp_replace(text, NAME, f"$1{MARK}1$2")
+    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, NUMBER, f"$1{NUMBERS}$2")).otherwise(text)
+    text = F.regexp_replace(text, NAME, f"$1{NAMES}$2")
     # A name right after a name: the letter before it was part of the match before.
-    text = F.when(F.instr(text, F.lit(MARK)) > 0, F.regexp_replace(text, NAME, f"$1{MARK}1$2")).otherwise(text)
-    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, NUMBER, f"$1{MARK}0$2")).otherwise(text)
+    text = F.when(F.instr(text, F.lit(NAMES)) > 0, F.regexp_replace(text, NAME, f"$1{NAMES}$2")).otherwise(text)
     text = F.lower(F.translate(text, PUNCTUATION, ""))
-    return F.when(F.instr(text, F.lit(MARK + "0")) > 0, F.regexp_replace(text, UNIT, f"$1{MARK}2$2$3")).otherwise(text)
+    return F.when(F.instr(text, F.lit(NUMBERS)) > 0, F.regexp_replace(text, UNIT, f"$1{UNITS_}$2$3")).otherwise(text)
+
+
+def named(text: Column) -> Column:
+    """Names inside sentences, numbers and units are placeholders."""
+    return text
+
+
+def plain(text: Column) -> Column:
+    """Only numbers are: no token depends on another or on capitals, so every verbatim copy matches."""
+    return F.replace(F.replace(text, F.lit(NAMES), F.lit("")), F.lit(UNITS_), F.lit(""))
+
+
+#: What ``valued`` gives, read in each form. All have the same number of tokens.
+FORMS = (named, plain)
 
 
 def words(text: Column) -> Column:
@@ -58,13 +76,26 @@ def canonical(text: Column) -> Column:
     return words(F.when(F.instr(text, F.lit(MARK)) > 0, bare).otherwise(text))
 
 
-def windows(tokens: Column, size: int) -> Column:
-    """Hash of each window, in order."""
+def windows(tokens: Column, size: int, form: int) -> Column:
+    """Hash of each window, in order; different in each form."""
     starts = F.sequence(F.lit(1), F.size(tokens) - (size - 1))
-    each = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, F.lit(size))))
+    each = F.transform(starts, lambda i: F.xxhash64(F.lit(form), F.slice(tokens, i, F.lit(size))))
     return F.when(F.size(tokens) >= size, each).otherwise(F.array().cast("array<bigint>"))
 
 
+def _forms(text: Column) -> list[Column]:
+    """Tokens with bare placeholders, a column for each form."""
+    return [canonical(form(valued(text))).alias(f"form{number}") for number, form in enumerate(FORMS)]
+
+
+def _read(text: Column) -> Column:
+    """Tokens with values, in the form of the row."""
+    out = F.lit(None).cast("string")
+    for number, form in enumerate(FORMS):
+        out = F.when(F.col("form") == number, form(text)).otherwise(out)
+    return words(out)
+
+
 def _at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
@@ -77,35 +108,41 @@ def _bounded(df: DataFrame) -> DataFrame:
 def matches(
     docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str, size: int, need: int
 ) -> DataFrame:
-    """``id, item, shift, places``: item places (from 0) of the windows in line, at least as many as needed.
+    """``id, item, form, shift, places``: item places (from 0) of the windows in line, at least as many as needed.
 
     An item shorter than a window is one window of its own length.
     """
     bench = items.select(identity(item, item_text).alias("item"), ref(item_text).alias("t")).dropDuplicates(["item"])
-    bench = bench.select("item", canonical(valued(F.col("t"))).alias("tokens"))
-    bench = bench.where(F.size("tokens") > 0).withColumn("size", F.least(F.size("tokens"), F.lit(size)))
+    bench = bench.select("item", *_forms(F.col("t")))
+    bench = bench.where(F.size("form0") > 0).withColumn("size", F.least(F.size("form0"), F.lit(size)))
     sizes = sorted(row["size"] for row in bench.select("size").distinct().collect())  # at most ``size`` numbers
-    tokens = docs.select(identity(key, text).alias("id"), valued(ref(text)).alias("valued"))
-    tokens = tokens.select("id", canonical(F.col("valued")).alias("tokens"))
+    tokens = docs.select(identity(key, text).alias("id"), *_forms(ref(text)))
+    numbers = range(len(FORMS))
     found = None
     for width in sizes:
-        own = bench.where(F.col("size") == width).select("item", windows(F.col("tokens"), width).alias("hashes"))
+        hashed = [windows(F.col(f"form{form}"), width, form) for form in numbers]
+        own = bench.where(F.col("size") == width)
         known = own.select(
-            "item", F.least(F.size("hashes"), F.lit(need)).alias("need"), F.posexplode("hashes").alias("place", "hash")
-        )
-        each = tokens.select("id", F.posexplode(windows(F.col("tokens"), width)).alias("at", "hash"))
+            "item", (F.size("form0") - (width - 1)).alias("n"), F.posexplode(F.concat(*hashed)).alias("at", "hash")
+        ).select(
+            "item", F.least("n", F.lit(need)).alias("need"), F.floor(F.col("at") / F.col("n")).cast("int").alias("form"),
+            (F.col("at") % F.col("n")).alias("place"), "hash",
+        )
+        each = tokens.select(
+            "id", (F.size("form0") - (width - 1)).alias("n"), F.posexplode(F.concat(*hashed)).alias("at", "hash")
+        ).select("id", (F.col("at") % F.col("n")).alias("at"), "hash")
         joined = each.join(_bounded(checkpoint(known)), "hash")
-        lines = joined.groupBy("id", "item", (F.col("at") - F.col("place")).alias("shift")).agg(
+        lines = joined.groupBy("id", "item", "form", (F.col("at") - F.col("place")).alias("shift")).agg(
             F.collect_set("place").alias("places"), F.max("need").alias("need")
         )
         lines = lines.where(F.size("places") >= F.col("need")).select(
-            "id", "item", "shift", F.sort_array("places").alias("places"), "need", F.lit(width).alias("width")
+            "id", "item", "form", "shift", F.sort_array("places").alias("places"), "need", F.lit(width).alias("width")
         )
         found = lines if found is None else found.unionAll(lines)
     if found is None:  # an empty benchmark
         kind = items.select(identity(item, item_text).alias("item")).schema["item"].dataType
         rows = docs.select(identity(key, text).alias("id"), F.lit(None).cast(kind).alias("item")).limit(0)
-        return rows.selectExpr("id", "item", "0 as shift", "array(0) as places", "0 as need", "0 as width")
+        return rows.selectExpr("id", "item", "0 as form", "0 as shift", "array(0) as places", "0 as need", "0 as width")
     return found
 
 
@@ -124,9 +161,9 @@ def leaks(
     texts = docs.select(identity(key, text).alias("id"), valued(ref(text)).alias("valued"))
     # Texts come back for documents with a match only.
     own = texts.join(_bounded(lines.select("id").distinct()), "id").groupBy("id").agg(F.first("valued").alias("valued"))
-    own = own.select("id", words(F.col("valued")).alias("tokens"))
     bench = items.select(identity(item, item_text).alias("item"), ref(item_text).alias("t")).dropDuplicates(["item"])
-    both = lines.join(own, "id").join(bench.select("item", words(valued(F.col("t"))).alias("asked")), "item")
+    both = lines.join(own, "id").join(bench.select("item", valued(F.col("t")).alias("t")), "item")
+    both = both.withColumn("tokens", _read(F.col("valued"))).withColumn("asked", _read(F.col("t"))).drop("valued", "t")
 
     def pairs(place: Column) -> Column:
         """Placeholders of one window: the item's value and the document's."""
