@@ -6,8 +6,9 @@ benchmark. Matches that lie along one shift of a document against an item are pu
 and their placeholders compared: a question with other numbers or names still counts if
 each value of the item stands for one value of the document throughout, and no two for the
 same. Placeholders depend on capitals and on what stands before a word, so a text is read
-in forms that match each on their own: with names inside sentences as placeholders, and
-without names, for copies in other case or in other surroundings. Built-in functions only.
+in forms that match each on their own: with names inside sentences as placeholders, without
+names, for copies in other case or in other surroundings, and with every capitalised word as
+a name, for names that begin sentences. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ BROADCAST_ROWS = 1_000_000
 
 MARK = "\x02"
 #: Types of placeholders. No digits but the number's own, lest a name be taken for a number.
-NUMBERS, UNITS_, NAMES = MARK + "0", MARK + "u", MARK + "n"
+NUMBERS, UNITS_, NAMES, STARTS = MARK + "0", MARK + "u", MARK + "n", MARK + "s"
 SPACE, NO_SPACE = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
 NUMBER = f"(^|{SPACE})({NO_SPACE}*[0-9])"
 #: A capitalised word that does not begin a sentence.
 NAME = f"([^\\x20\\x09-\\x0D.!?]{SPACE}+)([A-Z\\x{{C0}}-\\x{{DE}}])"
+#: Any other capitalised word.
+START = f"(^|{SPACE})([\"'(\\[{{]*)([A-Z\\x{{C0}}-\\x{{DE}}])"
 # Units, in their usual spellings.
 UNITS = (
     "mm|cm|m|km|metres?|meters?|kilometres?|kilometers?|miles?|feet|foot|inch|inches|yards?|mg|g|kg|grams?|kilograms?"
@@ -36,34 +39,43 @@ UNITS = (
     "|weeks?|months?|years?|degrees?|percent|dollars?|cents?|euros?|usd|eur|gbp|hz|khz|mhz|ghz|w|kw|mw|v|a|j|kj|n|pa"
     "|kpa|bytes?|kb|mb|gb|tb|mph|kmh"
 )
-UNIT = f"({NUMBERS}{NO_SPACE}*{SPACE}+)(?:{NAMES})?({UNITS})([^a-z]|$)"
+UNIT = f"({NUMBERS}{NO_SPACE}*{SPACE}+)(?:{NAMES}|{STARTS})?({UNITS})([^a-z]|$)"
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&-_/\\`~^+=@"
 
 
 def valued(text: Column) -> Column:
     """Tokens in lower case without punctuation; a placeholder is MARK, its type and its value."""
-    text = F.coalesce(text, F.lit(""))
-    text = F.when(F.instr(text, F.lit(MARK)) > 0, F.replace(text, F.lit(MARK))).otherwise(text)
-    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, NUMBER, f"$1{NUMBERS}$2")).otherwise(text)
+    # Each step names the text before it once: steps behind a condition would be worked out again for each mention.
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(""))
+    text = F.regexp_replace(text, NUMBER, f"$1{NUMBERS}$2")
     text = F.regexp_replace(text, NAME, f"$1{NAMES}$2")
     # A name right after a name: the letter before it was part of the match before.
-    text = F.when(F.instr(text, F.lit(NAMES)) > 0, F.regexp_replace(text, NAME, f"$1{NAMES}$2")).otherwise(text)
-    text = F.lower(F.translate(text, PUNCTUATION, ""))
-    return F.when(F.instr(text, F.lit(NUMBERS)) > 0, F.regexp_replace(text, UNIT, f"$1{UNITS_}$2$3")).otherwise(text)
+    text = F.regexp_replace(text, NAME, f"$1{NAMES}$2")
+    text = F.regexp_replace(text, START, f"$1$2{STARTS}$3")
+    return F.regexp_replace(F.lower(F.translate(text, PUNCTUATION, "")), UNIT, f"$1{UNITS_}$2$3")
 
 
 def named(text: Column) -> Column:
     """Names inside sentences, numbers and units are placeholders."""
-    return text
+    return F.replace(text, F.lit(STARTS), F.lit(""))
 
 
 def plain(text: Column) -> Column:
     """Only numbers are: no token depends on another or on capitals, so every verbatim copy matches."""
-    return F.replace(F.replace(text, F.lit(NAMES), F.lit("")), F.lit(UNITS_), F.lit(""))
+    for mark in (NAMES, STARTS, UNITS_):
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def capitals(text: Column) -> Column:
+    """Every capitalised word is a name, also one that begins a sentence or the text."""
+    return F.replace(text, F.lit(STARTS), F.lit(NAMES))
 
 
 #: What ``valued`` gives, read in each form. All have the same number of tokens.
-FORMS = (named, plain)
+FORMS = (named, plain, capitals)
+#: Of eight tokens of an item so many stand in a window of ``capitals`` as they are; with fewer, a title matches any other.
+WORDS_OF_EIGHT = 3
 
 
 def words(text: Column) -> Column:
@@ -72,8 +84,7 @@ def words(text: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """Tokens with bare placeholders, from ``valued``; as many as it has."""
-    bare = F.regexp_replace(text, f"{MARK}(.){NO_SPACE}*", f"{MARK}$1")
-    return words(F.when(F.instr(text, F.lit(MARK)) > 0, bare).otherwise(text))
+    return words(F.regexp_replace(text, f"{MARK}(.){NO_SPACE}*", f"{MARK}$1"))
 
 
 def windows(tokens: Column, size: int, form: int) -> Column:
@@ -83,9 +94,10 @@ def windows(tokens: Column, size: int, form: int) -> Column:
     return F.when(F.size(tokens) >= size, each).otherwise(F.array().cast("array<bigint>"))
 
 
-def _forms(text: Column) -> list[Column]:
-    """Tokens with bare placeholders, a column for each form."""
-    return [canonical(form(valued(text))).alias(f"form{number}") for number, form in enumerate(FORMS)]
+def _forms(rows: DataFrame) -> DataFrame:
+    """``valued`` as tokens with bare placeholders, a column for each form."""
+    forms = [canonical(form(F.col("valued"))).alias(f"form{number}") for number, form in enumerate(FORMS)]
+    return rows.select(*(name for name in rows.columns if name != "valued"), *forms)
 
 
 def _read(text: Column) -> Column:
@@ -96,6 +108,14 @@ def _read(text: Column) -> Column:
     return words(out)
 
 
+def _tells(width: int) -> Column:
+    """Whether a window of ``capitals`` has enough words as they are; others always do."""
+    number = FORMS.index(capitals)
+    window = F.slice(F.col(f"form{number}"), (F.col("at") % F.col("n") + 1).cast("int"), F.lit(width))
+    as_they_are = F.size(F.filter(window, lambda word: ~F.startswith(word, F.lit(MARK))))
+    return (F.floor(F.col("at") / F.col("n")) != number) | (as_they_are * 8 >= WORDS_OF_EIGHT * width)
+
+
 def _at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
@@ -113,18 +133,19 @@ def matches(
     An item shorter than a window is one window of its own length.
     """
     bench = items.select(identity(item, item_text).alias("item"), ref(item_text).alias("t")).dropDuplicates(["item"])
-    bench = bench.select("item", *_forms(F.col("t")))
+    bench = _forms(bench.select("item", valued(F.col("t")).alias("valued")))
     bench = bench.where(F.size("form0") > 0).withColumn("size", F.least(F.size("form0"), F.lit(size)))
     sizes = sorted(row["size"] for row in bench.select("size").distinct().collect())  # at most ``size`` numbers
-    tokens = docs.select(identity(key, text).alias("id"), *_forms(ref(text)))
+    tokens = _forms(docs.select(identity(key, text).alias("id"), valued(ref(text)).alias("valued")))
     numbers = range(len(FORMS))
     found = None
     for width in sizes:
         hashed = [windows(F.col(f"form{form}"), width, form) for form in numbers]
         own = bench.where(F.col("size") == width)
         known = own.select(
-            "item", (F.size("form0") - (width - 1)).alias("n"), F.posexplode(F.concat(*hashed)).alias("at", "hash")
-        ).select(
+            "item", (F.size("form0") - (width - 1)).alias("n"), *(f"form{form}" for form in numbers),
+            F.posexplode(F.concat(*hashed)).alias("at", "hash"),
+        ).where(_tells(width)).select(
             "item", F.least("n", F.lit(need)).alias("need"), F.floor(F.col("at") / F.col("n")).cast("int").alias("form"),
             (F.col("at") % F.col("n")).alias("place"), "hash",
         )

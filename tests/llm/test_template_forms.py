@@ -17,3 +17,20 @@ def test_short_items_in_other_surroundings(spark):
         "Q: What is the capital of France? A: Paris", "so: what is the capital of france", "Heading\nWhat is the capital of France?",
         "2. Days of a leap year?", "what is the capital",
     ], SHORT) == dict.fromkeys(range(4), "verbatim")
+
+
+STORY = "Alice has 5 apples. Alice buys 3 more. How many apples does Alice have now?"
+
+
+def test_names_that_begin_sentences(spark):
+    other = STORY.replace("Alice", "Bob").replace("5", "6").replace("3", "4")
+    found = kinds(spark, [
+        other, f"Some text. {other} More text.", f"Q: {other}", STORY.lower(), other.replace("does Bob", "does Carl"),
+        "Q: What is the capital of Spain?",
+    ], ((0, STORY), (1, "What is the capital of France?")))
+    assert found == {0: "changed", 1: "changed", 2: "changed", 3: "verbatim", 5: "changed"}
+
+
+def test_titles_do_not_match_each_other(spark):
+    title = "Early Notes On The Making Of Modern Clocks And Other Small Machines"
+    assert kinds(spark, ["Late Songs By An Artist From Northern Hills With Some Great Friends"], ((0, title),)) == {}
