@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from lastro.llm import (
     chat,
     fuzzy_lines,
+    licences,
     mixing,
+    negatives,
     page_text,
     quality_rules,
     secrets,
     simhash,
+    spellings,
     substrings,
     templates,
     url_rules,
@@ -215,16 +218,16 @@ OP8_SQL = r"""
 with docs as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words, row_number() over () as r
   from documents),
-starts as (select doc_id, r, words, unnest(range(len(words) - 19)) as i from docs where len(words) >= 20),
-windows as (select doc_id, r, i, array_to_string(words[i + 1:i + 20], ' ') as w from starts),
-firsts as (select w, min((coalesce(doc_id, -9223372036854775807), i)) as first from windows group by w),
-later as (select r, i from windows join firsts using (w) where (coalesce(doc_id, -9223372036854775807), i) > first),
-gone as (select r, i from (select distinct r, i + d as i from later, (select unnest(range(20)) as d))),
-lists as (select r, list(i) as removed from gone group by r),
-kept as (select doc_id, len(words) as n_words, coalesce(len(removed), 0) as n_removed,
-                list_filter(words, lambda word, n: removed is null or not list_contains(removed, n - 1)) as kept
-         from docs left join lists using (r))
-select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from kept
+tokens as (select r, coalesce(doc_id, -9223372036854775807) as d, unnest(words) as word, unnest(range(len(words))) as i from docs),
+windows as (select r, d, i, string_agg(word, ' ') over twenty as w, count(*) over twenty as n from tokens
+            window twenty as (partition by r order by i rows between current row and 19 following)),
+firsts as (select w, min((d, i)) as first from windows where n = 20 group by w),
+later as (select r, i from windows join firsts using (w) where n = 20 and (d, i) > first),
+gone as (select distinct r, i + k as i, true as gone from later, (select unnest(range(20)) as k)),
+kept as (select r, count(*) as n_words, count(gone) as n_removed, string_agg(word, ' ' order by i) filter (where gone is null) as kept
+         from tokens left join gone using (r, i) group by r)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from docs left join kept using (r)
 """
 
 
@@ -274,3 +277,95 @@ def op9_chat_prefix(spark, sf_dir):
 def op10_fuzzy_lines(spark, sf_dir):
     """Every document's lines that go because an equal or similar line comes earlier."""
     return fuzzy_lines.report(table(spark, sf_dir, "documents"))
+
+
+def _quoted(values) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+def _licence_sql() -> str:
+    using = licences.Scan()
+    texts = ", ".join(f"({n}, '{t.label}', '{' '.join(t.words)}')" for n, t in enumerate(using.templates))
+    keys = ", ".join(f"({n}, '{phrase}')" for n, t in enumerate(using.templates) for phrase in t.phrases)
+    named = " union all ".join(
+        f"select r, spot, '{label}' as label from ahead where four[1:{len(phrase.split())}] = [{_quoted(phrase.split())}]"
+        for phrase, label in using.phrases
+    )
+    return rf"""
+with rows as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+tokens as (select r, unnest(words) as word, unnest(range(len(words))) as spot from rows),
+ahead as (select r, spot, [word, lead(word) over w, lead(word, 2) over w, lead(word, 3) over w] as four
+          from tokens window w as (partition by r order by spot)),
+named as ({named}),
+base as (select r, count(*) as n_base, min(spot) as first_word, max(spot) as last_word from named group by r),
+templates(template, label, text) as (values {texts}),
+phrases(template, phrase) as (values {keys}),
+places as (select template, unnest(string_split(text, ' ')) as word, unnest(range(len(string_split(text, ' ')))) as place
+           from templates),
+frequencies as (select word, count(distinct r) as df from (select distinct word from places) left join tokens using (word) group by word),
+ranks as (select word, row_number() over (order by df, word) as rank from frequencies),
+kept as (select template, word, rank, row_number() over (partition by template order by rank) as k
+         from (select distinct template, word from places) join ranks using (word)),
+postings as (select template, word, rank, place from places join kept using (template, word) where k <= {using.indexed}),
+sizes as (select template, count(*) as size from postings group by template),
+own as (select r, rank, row_number() over (partition by r order by rank) as k
+        from (select distinct r, rank from tokens join (select distinct word, rank from postings) using (word))),
+voted as (
+  select r, template, spot - place as shift, count(*) as found, count(k) filter (where k <= {using.looked_up}) as votes
+  from tokens join postings using (word) left join own using (r, rank) group by all),
+padded as (select r, ' ' || array_to_string(words, ' ') || ' ' as padded from rows),
+lacks as (select distinct r, template, true as lacks from padded, phrases where not contains(padded, ' ' || phrase || ' ')),
+passed as (
+  select r, template, label, max(found) / any_value(size) as score
+  from voted join sizes using (template) join templates using (template) left join lacks using (r, template)
+  where votes >= least(size, {using.votes}) and lacks is null group by r, template, label),
+best as (select r, max(score) as score from passed group by r),
+base_labels as (select r, string_agg(label, ',' order by label) as base_labels from (select distinct r, label from named) group by r),
+labels as (select r, string_agg(label, ',' order by label) as labels
+           from (select r, label from named union select r, label from passed) group by r)
+select doc_id, len(words) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,
+       coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score
+from rows left join base using (r) left join base_labels using (r) left join labels using (r) left join best using (r)
+"""
+
+
+@section.query("op11_licence_scan", _licence_sql())
+def op11_licence_scan(spark, sf_dir):
+    """Licence phrases and notices in every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@section.query("op12_spelling_groups")
+def op12_spelling_groups(spark, sf_dir):
+    """Every frequent word with the near word it is probably a spelling of."""
+    return spellings.report(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+with given as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+padded as (select vec_id, label, list_resize(v, (select max(len(v)) from given), 0.0) as v, row_number() over () as r from given),
+pairs as (
+  select a.r, a.vec_id as anchor_id, b.r as other, b.vec_id, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from padded a join padded b on a.r <> b.r where a.vec_id % 50 = 0),
+positives as (
+  select * from pairs where same qualify row_number() over (partition by r order by score desc, vec_id nulls last) <= 5),
+met as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+         row_number() over (partition by p.r, p.other order by n.score desc, n.vec_id nulls last) as rank
+  from positives p join pairs n on n.r = p.r and not n.same
+    and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from met where rank <= 3
+"""
+
+
+@section.query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark, sf_dir):
+    """Negatives inside the band below each positive of every anchor."""
+    return negatives.report(table(spark, sf_dir, "embeddings"))

@@ -60,6 +60,28 @@ CONVERSATIONS = [
     (3, 0, "as] s", "odd role"),
     (4, 0, "assistant", "long " * 20_000),
 ]
+#: vec_id, embedding, label
+EMBEDDINGS = [
+    (0, [0.5, 0.25, -0.125], 1),
+    (0, [0.5, 0.25, -0.125], 1),  # a repeated row
+    (0, [0.25, 0.25, 0.5], 1),  # the same id, another vector
+    (1, [0.5, 0.25, -0.25], 1),
+    (2, [0.5, 0.25, -0.25], 1),  # ties
+    (3, [0.5, 0.125, -0.25], 2),
+    (4, [0.5, 0.125, -0.25], 2),
+    (7, [0.375, 0.25], 0),  # shorter; moves on to label 1
+    (50, [], 2),
+    (100, [0.0, 0.0, 0.0], 2),
+    (150, None, 1),
+    (200, [0.5, None, 0.5], 1),
+    (250, [0.5, float("nan"), 0.5], 1),
+    (300, [0.5, float("inf"), 0.5], 1),
+    (350, [0.5, 0.5, 0.5], None),
+    (None, [0.5, 0.25, -0.25], 2),
+    (None, [0.4, 0.2, -0.2], 1),
+    (400, [-0.5, -0.25, 0.125], 1),
+    (450, [2.0, -1.0, 4.0], 7),  # alone with its label
+]
 
 
 def odd_tables(tmp_path, empty=False):
@@ -82,6 +104,10 @@ def odd_tables(tmp_path, empty=False):
         [("doc_id", long), ("text", text), ("lang", text), ("source", text), ("n_chars", long)],
         id="x", key="x", version="x", size="x", position="x", words="x", measures="x", chosen="x", ident="x", number="x",
     )
+    write(
+        "embeddings", EMBEDDINGS, [("vec_id", long), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())],
+        row="x", id="x", v="x", anchor="x", score="x", bound="x",
+    )
     write("benchmark", BENCHMARK, [("item_id", long), ("text", text)], item="x", tokens="x")
     write("pages", PAGES, [("page_id", long), ("url", text), ("html", text)], host="x", path="x", rule="x", id="x")
     write(
