@@ -23,8 +23,8 @@ TRANSFER = "TRANSFERENCIA (CESSAO DE DIREITO)"
 CANCELLATION = "CANCELAMENTO"
 
 
-def reason_overdue_close(last_day: date) -> str:
-    return f"PARCELA VENCIDA EM ABERTO EM {last_day:%d/%m}"
+def reason_overdue_close(last_day: date | Column) -> Column:
+    return F.concat(F.lit("PARCELA VENCIDA EM ABERTO EM "), F.date_format(F.lit(last_day), "dd/MM"))
 
 
 def yes_no(condition: Column, no: str = "Não") -> Column:
@@ -65,7 +65,7 @@ def eligible_monthly(overdue_now: Column) -> Column:
     return F.when(rescued, eligible(~moved)).otherwise(eligible(overdue_now))
 
 
-def cancelled_after(cutoff: date) -> Column:
+def cancelled_after(cutoff: date | Column) -> Column:
     """Effective cancellation on or after the cutoff; undated ones are neither."""
     return is_true(effective_day() >= F.lit(cutoff))
 
@@ -119,7 +119,7 @@ def live_ruling() -> dict[str, Column]:
     }
 
 
-def close_ruling(cutoff: date, last_day: date) -> dict[str, Column]:
+def close_ruling(cutoff: date | Column, last_day: date | Column) -> dict[str, Column]:
     """As live, but a cancellation after the close comes first."""
     late, gone = overdue(), cancelled_after(cutoff)
     final = F.when(gone, NAO_APTO).otherwise(eligible(late))

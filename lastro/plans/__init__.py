@@ -3,6 +3,7 @@ from lastro.plans import (
     boards,
     classification,
     close,
+    closes,
     contracts,
     corrections,
     files,
@@ -22,6 +23,7 @@ SECTIONS = [
         ledger,
         rulings,
         close,
+        closes,
         audits,
         silver,
         corrections,
