@@ -37,7 +37,7 @@ def _sink(spark, name: str) -> tuple[str, str]:
 def stream_receipts_daily(spark, sf):
     path, checkpoint = _sink(spark, "diario")
     X.run_available(X.daily_sums(_events(spark, sf), "ts", "valor"), path, checkpoint, "update", ["dia"])
-    return X.current(spark, path)
+    return X.current(spark, path, ["dia"])
 
 
 @section.query(
@@ -48,7 +48,7 @@ def stream_receipts_daily(spark, sf):
 def stream_coupons_by_contract(spark, sf):
     path, checkpoint = _sink(spark, "contrato")
     X.run_available(X.contract_totals(_events(spark, sf), "user_id", "valor"), path, checkpoint, "update", ["user_id"])
-    return X.contract_coupons(spark, path)
+    return X.contract_coupons(spark, path, "user_id")
 
 
 @section.query(

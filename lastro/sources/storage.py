@@ -36,3 +36,45 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage on reliable storage."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+# Small files of the driver, in whatever store Spark reads
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    store, place = _place(spark, folder)
+    return [status.getPath().getName() for status in store.listStatus(place)] if store.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    store, place = _place(spark, path)
+    stream = store.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A file that appears whole or not at all, and that no other writer has made before."""
+    store, place = _place(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = store.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if store.exists(place) or not store.rename(draft, place):
+        store.delete(draft, False)
+        raise FileExistsError(f"{path} was written by another writer")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    store, place = _place(spark, path)
+    store.delete(place, True)

@@ -2,9 +2,9 @@
 
 Every micro-batch writes its own folder, named by its batch id, so a replayed
 batch replaces what it wrote and readers see each result once. Where rows replace
-earlier rows of their key, the folder holds all current rows: a reader opens the
-last one only. State that must survive (daily sums) is Spark's own checkpointed
-state; nothing is collected.
+earlier rows of their key, they go to a table of hash buckets: a batch writes the buckets
+it touches, and a batch that is in already is passed over. State that must survive
+(daily sums) is Spark's own checkpointed state; nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,14 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lastro.functions.money import coupons
+from lastro.sources.buckets import BucketTable
 
 BATCH = "lote"
+#: Runs a bucket of a sink may have before they are merged.
+MOST_RUNS = 8
 
 
 def read_stream(
@@ -40,42 +43,18 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, object]:
-    """Complete batch folders of a sink, by batch id."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(folder):
-        return {}
-    found = {}
-    for status in store.listStatus(folder):
-        name, _, number = status.getPath().getName().partition("=")
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name == BATCH and store.exists(done):
-            found[int(number)] = status.getPath()
-    return found
-
-
-def upsert_folder(path: str, key: list[str]) -> Callable[[DataFrame, int], None]:
+def upsert_buckets(path: str, key: list[str], most: int = MOST_RUNS) -> Callable[[DataFrame, int], None]:
     """Sink: the batch's rows replace those of the same key; null keys are a key.
 
-    A batch writes the current rows as a new folder on top of the newest one before
-    it, so a replayed batch starts from the same rows again. Folders older than
-    that one are removed.
+    A batch adds a run to the buckets of its keys. Buckets with more than ``most`` runs are
+    merged, and what no longer counts is removed; a reader of the version before still finds its files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        versions = {n: place for n, place in _versions(spark, path).items() if n < batch_id}
-        rows = batch
-        if versions:
-            before = spark.read.parquet(versions[max(versions)].toString())
-            same = F.struct(*key).alias("_chave")
-            kept = before.withColumn("_chave", same).join(batch.select(same), "_chave", "left_anti").drop("_chave")
-            rows = kept.unionByName(batch)
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        for number in sorted(versions)[:-1]:
-            place = versions[number]
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        table = BucketTable(batch.sparkSession, path, key)
+        if table.write(batch, batch_id):
+            table.compact(most)
+            table.clean()
 
     return write
 
@@ -85,11 +64,12 @@ def run_available(
 ) -> StreamingQuery:
     """Process what is there, then stop. The same call resumes from the checkpoint.
 
-    With ``key`` the sink keeps one current row per key, else all rows of all batches.
+    With ``key`` the sink keeps one current row per key, else all rows of all batches. A sink
+    belongs to one checkpoint: batches it has already are passed over.
     """
     query = (
         df.writeStream.outputMode(mode)
-        .foreachBatch(upsert_folder(path, key) if key else batch_folder(path))
+        .foreachBatch(upsert_buckets(path, key) if key else batch_folder(path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -98,10 +78,14 @@ def run_available(
     return query
 
 
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of an upserting sink: its newest folder."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(versions[max(versions)].toString())
+def current(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The current rows of an upserting sink."""
+    return BucketTable(spark, path, key).read()
+
+
+def event_day(ts: str) -> Column:
+    """The day a time was written with, whatever the session's zone."""
+    return F.col(ts).cast("timestamp_ntz").cast("date")
 
 
 def daily_sums(stream: DataFrame, ts: str, value: str) -> DataFrame:
@@ -110,8 +94,7 @@ def daily_sums(stream: DataFrame, ts: str, value: str) -> DataFrame:
     No watermark: postings come up to weeks late and must count. The state is one
     row per day, so it stays small without closing days.
     """
-    day = F.col(ts).cast("timestamp_ntz").cast("date")
-    return stream.groupBy(day.alias("dia")).agg(F.count(F.lit(1)).alias("recebimentos"), F.sum(value).alias("valor"))
+    return stream.groupBy(event_day(ts).alias("dia")).agg(F.count(F.lit(1)).alias("recebimentos"), F.sum(value).alias("valor"))
 
 
 def contract_totals(stream: DataFrame, contract: str, value: str) -> DataFrame:
@@ -120,11 +103,11 @@ def contract_totals(stream: DataFrame, contract: str, value: str) -> DataFrame:
     return stream.groupBy(contract).agg(F.sum(value).alias("valor"))
 
 
-def contract_coupons(spark: SparkSession, path: str) -> DataFrame:
-    return current(spark, path).withColumn("cupons", coupons(F.col("valor")))
+def contract_coupons(spark: SparkSession, path: str, contract: str) -> DataFrame:
+    return current(spark, path, [contract]).withColumn("cupons", coupons(F.col("valor")))
 
 
 def route_late(stream: DataFrame, ts: str, cutoff: date) -> DataFrame:
     """Receipts of a closed period are marked for the correction table, not dropped."""
-    late = F.col(ts).cast("date") < F.lit(cutoff)
+    late = event_day(ts) < F.lit(cutoff)
     return stream.withColumn("destino", F.when(late, "correcao").otherwise("corrente"))
