@@ -8,6 +8,7 @@ Reports that need rulings and amounts read the core alone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,30 +86,59 @@ def _rule(df: DataFrame, rulings: dict[str, Column], columns: list[str]) -> Data
     return df.withColumns({name: col for name, col in rulings.items() if name in columns}).select(*columns)
 
 
+@dataclass(frozen=True)
+class LiveParts:
+    """What the live row is made of, per sale or per instalment; the callables are asked only if needed."""
+
+    sales: DataFrame
+    receipts: DataFrame
+    ceded: DataFrame
+    cancelled: DataFrame
+    open_rows: DataFrame
+    valuation: Callable[[], DataFrame]
+    new_side: Callable[[], DataFrame]
+    legal: Callable[[], DataFrame]
+
+
 def live_core(
     erp: Erp, portfolio: Portfolio, window: LiveWindow, columns: list[str] | None = None
 ) -> DataFrame:
     """Members with amounts and rulings. A side no asked-for column needs is not joined."""
-    columns = columns or LIVE_COLUMNS
-    wanted = set(columns)
     ceded = C.cession_old_side(erp.history, portfolio)
-    receipts = L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.end, window.month_start)
     month = (window.previous_month_start, window.month_start)
-    open_rows = L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start, month)
+    parts = LiveParts(
+        _sales(erp, portfolio),
+        L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.end, window.month_start),
+        ceded,
+        C.effective_cancellations(erp.cancellations).select(*SALE_KEY).distinct(),
+        L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start, month),
+        lambda: L.valuation_by_instalment(erp.valuations, portfolio),
+        lambda: C.cession_new_side(erp.history, portfolio),
+        lambda: C.legal_by_sale(erp.occurrences),
+    )
+    return live_from_parts(parts, portfolio, window, columns)
+
+
+def live_from_parts(
+    parts: LiveParts, portfolio: Portfolio, window: LiveWindow, columns: list[str] | None = None
+) -> DataFrame:
+    """The same from ledgers that are added up already."""
+    columns = columns or LIVE_COLUMNS
+    wanted = set(columns)
 
     def valued() -> DataFrame:
-        valuation = L.valuation_by_instalment(erp.valuations, portfolio)
-        return L.receivables_by_sale(open_rows, valuation, portfolio, window.as_of)
+        return L.receivables_by_sale(parts.open_rows, parts.valuation(), portfolio, window.as_of)
 
-    candidates = _with_receipts(_sales(erp, portfolio), receipts.withColumn("recebeu", F.lit(1))).join(ceded, SALE_KEY, "left")
-    members = C.without_cancelled(C.keep_members(candidates, portfolio), erp.cancellations)
+    received = parts.receipts.withColumn("recebeu", F.lit(1))
+    candidates = _with_receipts(parts.sales, received).join(parts.ceded, SALE_KEY, "left")
+    members = C.keep_members(candidates, portfolio).join(parts.cancelled, SALE_KEY, "left_anti")
     joined = _join_parts(
         members,
         [
             (bool(wanted & _VALUED), valued),
-            (not wanted & _VALUED and bool(wanted & _MARKED), lambda: L.overdue_by_sale(open_rows, window.as_of)),
-            (bool(wanted & _NEW_SIDE), lambda: C.cession_new_side(erp.history, portfolio)),
-            (bool(wanted & _LEGAL), lambda: C.legal_by_sale(erp.occurrences)),
+            (not wanted & _VALUED and bool(wanted & _MARKED), lambda: L.overdue_by_sale(parts.open_rows, window.as_of)),
+            (bool(wanted & _NEW_SIDE), parts.new_side),
+            (bool(wanted & _LEGAL), parts.legal),
         ],
     )
     rulings = {**_ledger_amounts(), **R.live_ruling(), **R.ledger_columns(), **R.cession_columns(), **R.legal_columns()}

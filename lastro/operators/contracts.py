@@ -211,10 +211,13 @@ def with_contact(df: DataFrame, people: DataFrame, phones: DataFrame) -> DataFra
 # Legal occurrences ----------------------------------------------------------
 
 
+def open_occurrences(occurrences: DataFrame) -> DataFrame:
+    return occurrences.where((F.col("status") == 0) & F.col("ocorrencia").isin(OCCURRENCE_ACTIVE, OCCURRENCE_PASSIVE))
+
+
 def legal_by_document(occurrences: DataFrame) -> DataFrame:
     """Open active and passive occurrences counted per document."""
-    open_ones = occurrences.where((F.col("status") == 0) & F.col("ocorrencia").isin(OCCURRENCE_ACTIVE, OCCURRENCE_PASSIVE))
-    return open_ones.groupBy("empresa", "documento").agg(
+    return open_occurrences(occurrences).groupBy("empresa", "documento").agg(
         F.count_if(F.col("ocorrencia") == OCCURRENCE_ACTIVE).alias("juridico_ativo"),
         F.count_if(F.col("ocorrencia") == OCCURRENCE_PASSIVE).alias("juridico_passivo"),
     )
@@ -225,6 +228,10 @@ def sale_document() -> Column:
 
 
 def legal_by_sale(occurrences: DataFrame) -> DataFrame:
+    return keyed_by_document(legal_by_document(occurrences))
+
+
+def keyed_by_document(documents: DataFrame) -> DataFrame:
     """Documents that name a sale, keyed by it.
 
     The sale key is read out of the (few) documents instead of being written
@@ -232,7 +239,7 @@ def legal_by_sale(occurrences: DataFrame) -> DataFrame:
     partitioned by. Only documents that spell the key exactly are kept.
     """
     pattern = r"(?s)^VENDAS (\d+)-(.*)$"
-    keyed = legal_by_document(occurrences).withColumns(
+    keyed = documents.withColumns(
         {
             "num_venda": F.regexp_extract("documento", pattern, 1).try_cast("long"),
             "obra": F.regexp_extract("documento", pattern, 2),

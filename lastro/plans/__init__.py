@@ -6,11 +6,13 @@ from lastro.plans import (
     closes,
     contracts,
     corrections,
+    digests,
     files,
     kpis,
     ledger,
     quality,
     reconcile,
+    refresh,
     rulings,
     silver,
     streams,
@@ -22,6 +24,8 @@ SECTIONS = [
         contracts,
         ledger,
         rulings,
+        refresh,
+        digests,
         close,
         closes,
         audits,
