@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lastro.sources.storage import checkpoint  # noqa: F401  (reliable, in the session's shared folder)
+from lastro.sources.storage import checkpoint, run_folder  # noqa: F401  (reliable, in the session's shared folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the session's shared folder: cuts the lineage as a checkpoint does, and is compressed."""
+    path = run_folder(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or with underscores in front until no column has that name in any case."""
     taken = {name.lower() for name in df.columns}

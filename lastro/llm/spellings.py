@@ -1,21 +1,21 @@
 """Spelling variants by a relational trie frontier.
 
 The words are a trie kept as a table of edges: its nodes are the prefixes at which words
-part or end, named by a 128-bit hash, and an edge carries the characters up to the next
-node. All words walk the trie at once. A state is (word, position, node, edits); each
-round joins all states with the edges of their nodes. A state without an edit follows its
-word, and where another edge leaves the path it spends the edit there: words that differ
-by one edit agree up to the first place at which they differ. A state with an edit follows
+part or end, named by a 64-bit hash, and an edge carries the characters up to the next
+node. All words walk the trie at once. A state is (word, position, node, edits). Without an
+edit a state stands on its word's own path; words that differ by one edit agree up to the
+first place at which they differ, so the edit is spent where another edge leaves the path.
+From then on each round joins all states with the edges of their nodes, and a state follows
 its word to the end. Where it ends on a word's node, the two are neighbours. Only the longer
 word of an insertion and the greater character of a replacement are looked for, since each
 pair is met from both its ends.
 
 Near the root every word would meet every edge. So a second trie holds the words reversed:
 an edit in the second half of a word is looked for in the first trie, one in the first half
-in the second, each below nodes that half a word leads to.
+in the second, each from nodes on that half a word leads to.
 
-A node whose subtree holds many words is met by many states, near the root by all of them:
-its edges are copied per salt, and states are dealt to the salts.
+A node whose subtree holds many words is met by many states: its edges are copied per salt,
+and states are dealt to the salts. Rounds are written as tables to the session's shared folder.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lastro.llm.frames import checkpoint, ref
+from lastro.llm.frames import ref, stored
 from lastro.llm.words import PIECE_BYTES
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -87,31 +87,38 @@ def vocabulary(docs: DataFrame, key: str, text: str, least: int = 6, occurrences
 
 
 #: Names of the two roots: the prefixes without characters, of words and of reversed words.
-_ROOTS = (xxhash.xxh3_128_digest(b""), xxhash.xxh3_128_digest(b"reversed"))
-_PREFIXES = "walk string, root binary, id binary, depth int, node binary, next string"
+_ROOTS = (1, 2)
+
+
+def _next(node: int, character: str) -> int:
+    """Name of the prefix that is one character longer."""
+    return xxhash.xxh3_64_intdigest(character.encode(), seed=node)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every prefix of every word and reversed word: its name, and the next character, empty at the end.
+    """``walk, back, id, depth, node, next`` of every prefix of every word and reversed word.
 
-    ``id`` names the whole; ``walk`` is the whole itself, on its row of depth 0 only.
+    ``next`` is the character after it, empty at the end. ``id`` names the whole; ``walk`` is
+    the whole itself, on its row of depth 0 only.
     """
-    names = [part.split()[0] for part in _PREFIXES.split(", ")]
-    kinds = [pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.string()]
+    names = ["walk", "back", "id", "depth", "node", "next"]
+    kinds = [pa.string(), pa.bool_(), pa.uint64(), pa.int32(), pa.uint64(), pa.string()]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(part, kind) for part, kind in zip(columns, kinds, strict=True)], names=names)
+        columns = [pa.array(part, kind) for part, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        columns[2], columns[4] = columns[2].view(pa.int64()), columns[4].view(pa.int64())
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     rows: list[tuple] = []
     for batch in batches:
         for word in batch.column(0).to_pylist():
-            for root, walk in zip(_ROOTS, (word, word[::-1]), strict=True):
+            for back, root in enumerate(_ROOTS):
+                walk = word[::-1] if back else word
                 path = [root]
                 for character in walk:
-                    path.append(xxhash.xxh3_128_digest(path[-1] + character.encode()))
+                    path.append(_next(path[-1], character))
                 ends = [*walk, ""]
-                rows += [(walk if depth == 0 else None, root, path[-1], depth, node, ends[depth]) for depth, node in enumerate(path)]
+                rows += [(walk if depth == 0 else None, bool(back), path[-1], depth, node, ends[depth]) for depth, node in enumerate(path)]
             if len(rows) >= 50_000:
                 yield out(rows)
                 rows = []
@@ -120,14 +127,16 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _trie(words: DataFrame, salt_words: int) -> tuple[DataFrame, DataFrame]:
-    """Both tries, and the states before the first round.
+    """Both tries, and the states before the edit.
 
     Edges are ``node, first, label, child, ends, salts, copies, follow``: ``ends`` is the word
     that ends at the child, null if none; ``salts`` are the child's and ``copies`` the node's;
-    ``follow`` holds the characters its edges begin with.
-    States are ``walk, root, half, at, node, edits, salts``; an edit is looked for from ``half`` on.
+    ``follow`` holds the characters its edges begin with. States are ``walk, back, at, node,
+    salts``: the nodes on a word's path from the half on that its trie looks after.
     """
-    prefixes = checkpoint(words.select("word").mapInArrow(_prefixes, _PREFIXES))
+    prefixes = words.select("word").mapInArrow(
+        _prefixes, "walk string, back boolean, id long, depth int, node long, next string"
+    )
     told = prefixes.groupBy("node").agg(
         F.min("next").alias("low"), F.max("next").alias("high"), F.count(F.lit(1)).alias("words"), F.max("depth").alias("depth")
     )
@@ -135,11 +144,12 @@ def _trie(words: DataFrame, salt_words: int) -> tuple[DataFrame, DataFrame]:
     kept = told.where((F.col("low") < F.col("high")) | (F.col("low") == "") | (F.col("depth") == 0))
     kept = kept.select("node", F.ceil(F.col("words") / salt_words).cast("int").alias("salts"))
     # A path has as many nodes as the word has characters at most.
-    paths = prefixes.join(kept, "node").groupBy("id").agg(
-        F.max("walk").alias("walk"), F.first("root").alias("root"),
-        F.array_sort(F.collect_list(F.struct("depth", "node", "salts"))).alias("path"),
+    paths = stored(
+        prefixes.drop("next").join(kept, "node").groupBy("id").agg(
+            F.max("walk").alias("walk"), F.first("back").alias("back"),
+            F.array_sort(F.collect_list(F.struct("depth", "node", "salts"))).alias("path"),
+        )
     )
-    paths = checkpoint(paths)
     step = F.expr("explode(transform(slice(path, 2, size(path) - 1), (s, i) -> struct(path[i] as a, s as b)))")
     table = paths.select("id", "walk", step.alias("step")).select(
         F.col("step.a.node").alias("node"), F.col("step.a.salts").alias("copies"),
@@ -150,59 +160,60 @@ def _trie(words: DataFrame, salt_words: int) -> tuple[DataFrame, DataFrame]:
     whole = table.groupBy("node", "child").agg(
         F.min("label").alias("label"), F.max("ends").alias("ends"), F.max("salts").alias("salts"), F.max("copies").alias("copies")
     )
-    whole = checkpoint(whole.withColumn("first", F.expr("left(label, 1)")))
+    whole = stored(whole.withColumn("first", F.expr("left(label, 1)")))
     follow = whole.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("follow"))
     length = F.length("walk")
-    half = F.when(F.col("root") == F.lit(bytearray(_ROOTS[0])), F.floor(length / 2)).otherwise(length - F.floor(length / 2))
-    start = paths.select(
-        "walk", "root", half.cast("int").alias("half"), F.lit(0).alias("at"), F.col("root").alias("node"), F.lit(0).alias("edits"),
-        F.expr("path[0].salts").alias("salts"),
-    )
-    return checkpoint(whole.join(follow, "child", "left")), start
+    half = F.when(F.col("back"), length - F.floor(length / 2)).otherwise(F.floor(length / 2))
+    open_nodes = F.filter("path", lambda step: step["depth"] >= half)
+    start = paths.select("walk", "back", F.explode(open_nodes).alias("step")).select(
+        "walk", "back", F.col("step.depth").alias("at"), F.col("step.node").alias("node"), F.col("step.salts").alias("salts")
+    )
+    return stored(whole.join(follow, "child", "left")), start
 
 
 def near_words(words: DataFrame, salt_words: int = SALT_WORDS) -> DataFrame:
     """``word, near``: every two words that differ by exactly one inserted, deleted or replaced character, both ways.
 
-    ``words`` has distinct ``word``. Rounds are as many as the most nodes on a word's path:
-    places where words part, not characters, so a very long word costs few.
+    ``words`` has distinct ``word``. Rounds are as many as the most nodes on half a word's
+    path: places where words part, not characters, so a very long word costs few.
     """
     trie, states = _trie(words, salt_words)
     spread = trie.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    pairs = None
-    while True:
-        states = states.withColumns(
-            {"rest": F.expr("substring(walk, at + 1)"), "salt": F.pmod(F.xxhash64("walk"), F.col("salts")).cast("int")}
-        ).drop("salts")
-        here = ["walk", "root", "half", "child", "ends", "salts", "follow"]
-        size = F.length("label")
-        # Along the word, with or without an edit.
-        along = states.withColumn("first", F.expr("left(rest, 1)")).join(spread, ["node", "salt", "first"]).where(F.startswith("rest", "label"))
-        moved = along.select(*here, "edits", (F.col("at") + size).alias("at"))
-        # Off the word's path: by a replacement, or by a character that the other word has more.
-        open_states = states.where((F.col("edits") == 0) & (F.col("at") >= F.col("half")))
-        off = open_states.join(spread, ["node", "salt"]).where(F.col("first") != F.expr("left(rest, 1)"))
-        tail = F.expr("substring(label, 2)")
-        greater = (F.col("rest") != "") & (F.col("first") > F.expr("left(rest, 1)"))
-        replaced = F.when(greater & F.startswith(F.expr("substring(rest, 2)"), tail), F.col("at") + size)
-        longer = F.when(F.startswith("rest", tail), F.col("at") + size - 1)
-        places = F.filter(F.array(replaced, longer), lambda at: at.isNotNull())
-        moved = moved.unionAll(off.select(*here, F.lit(1).alias("edits"), F.explode(places).alias("at")))
-        # At the word's end, or where an edge goes on as the word does.
+    size = F.length("label")
+
+    def settled(moved: DataFrame) -> DataFrame:
+        """At the word's end a state is a neighbour or nothing; before it, it needs an edge that goes on as the word does."""
+        at_end = F.col("at") == F.length("walk")
         goes_on = F.contains(F.coalesce("follow", F.lit("")), F.expr("substring(walk, at + 1, 1)"))
-        moved = checkpoint(moved.where((F.col("at") == F.length("walk")) | goes_on).drop("follow"))
-        done = moved.where((F.col("edits") == 1) & (F.col("at") == F.length("walk")) & F.col("ends").isNotNull())
-        done = done.select("root", F.col("walk").alias("word"), F.col("ends").alias("near"))
-        pairs = done if pairs is None else pairs.unionAll(done)
-        # A state that has spent its edit and has come to its word's end can't go on.
-        states = moved.where((F.col("edits") == 0) | (F.col("at") < F.length("walk"))).select(
-            "walk", "root", "half", "at", F.col("child").alias("node"), "edits", "salts"
+        kept = moved.where((at_end & F.col("ends").isNotNull()) | (~at_end & goes_on))
+        going = ~at_end
+        return stored(
+            kept.select(
+                "walk", "back", F.when(at_end, F.col("ends")).alias("near"), "at", F.when(going, F.col("child")).alias("node"),
+                F.when(going, F.col("salts")).alias("salts"),
+            )
         )
-        if states.isEmpty():
-            break
-    back = F.col("root") == F.lit(bytearray(_ROOTS[1]))
-    turned = (F.when(back, F.reverse(name)).otherwise(F.col(name)).alias(name) for name in ("word", "near"))
-    pairs = checkpoint(pairs.select(*turned).distinct())
+
+    def dealt(states: DataFrame) -> DataFrame:
+        salt = F.pmod(F.xxhash64("walk"), F.col("salts")).cast("int")
+        return states.select("walk", "back", "at", "node", F.expr("substring(walk, at + 1)").alias("rest"), salt.alias("salt"))
+
+    # The edit, off the word's path: by a replacement, or by a character that the other word has more.
+    off = dealt(states).join(spread, ["node", "salt"]).where(F.col("first") != F.expr("left(rest, 1)"))
+    tail = F.expr("substring(label, 2)")
+    greater = (F.col("rest") != "") & (F.col("first") > F.expr("left(rest, 1)"))
+    replaced = F.when(greater & F.startswith(F.expr("substring(rest, 2)"), tail), F.col("at") + size)
+    longer = F.when(F.startswith("rest", tail), F.col("at") + size - 1)
+    places = F.filter(F.array(replaced, longer), lambda at: at.isNotNull())
+    moved = settled(off.select("walk", "back", "child", "ends", "salts", "follow", F.explode(places).alias("at")))
+    pairs = moved.where("near is not null").select("back", "walk", "near")
+    while not (states := moved.where("near is null")).isEmpty():
+        along = dealt(states).withColumn("first", F.expr("left(rest, 1)")).join(spread, ["node", "salt", "first"])
+        along = along.where(F.startswith("rest", "label"))
+        moved = settled(along.select("walk", "back", "child", "ends", "salts", "follow", (F.col("at") + size).alias("at")))
+        pairs = pairs.unionAll(moved.where("near is not null").select("back", "walk", "near"))
+    word, near = (F.when(F.col("back"), F.reverse(name)).otherwise(F.col(name)) for name in ("walk", "near"))
+    pairs = stored(pairs.select(word.alias("word"), near.alias("near")).distinct())
     return pairs.unionAll(pairs.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
@@ -215,7 +226,7 @@ def roots(forms: DataFrame) -> DataFrame:
     jumps = forms.select("word", F.col("form").alias("root"))
     while True:
         further = jumps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = checkpoint(jumps.join(further, "root", "left"))
+        moved = stored(jumps.join(further, "root", "left"))
         jumps = moved.select("word", F.coalesce("next", "root").alias("root"))
         if moved.where(F.col("next").isNotNull()).isEmpty():
             return jumps
@@ -227,7 +238,7 @@ def group(words: DataFrame, times: int = TIMES) -> DataFrame:
     The form is the most frequent near word (ties: the smallest), if it is ``times`` as
     frequent as the word; the root is the last form, the word itself without one.
     """
-    words = checkpoint(words)
+    words = stored(words)
     near = near_words(words)
     told = near.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     # The largest count and then the smallest word, without a window over a word's neighbours.
@@ -236,7 +247,7 @@ def group(words: DataFrame, times: int = TIMES) -> DataFrame:
     )
     joined = words.join(best, "word", "left")
     formed = (-F.col("best.less") >= times * F.col("n"))
-    chosen = checkpoint(
+    chosen = stored(
         joined.select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(formed, F.col("best.word")).alias("form"), F.when(formed, -F.col("best.less")).alias("form_n"),
