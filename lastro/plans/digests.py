@@ -22,17 +22,17 @@ def executions(spark, sf):
     base = B.live_core(S.erp(spark, sf), S.PORTFOLIO, S.LIVE, [*SALE_KEY, *_COLUMNS])
     mine = F.col("empresa").isin(4, 17)
     sale = F.col("num_venda")
-    later = base.withColumns(
+    later = base.where(~mine | (sale % 19 != 0)).withColumns(
         {
             "valor_recebido": F.when(mine & (sale % 11 == 0), F.col("valor_recebido") + 1).otherwise(F.col("valor_recebido")),
             "dias_atraso": F.when(mine & (sale % 13 == 0), F.lit(None)).otherwise(F.col("dias_atraso")),
             "num_venda": F.when(mine & (sale % 17 == 0), -sale).otherwise(sale),
         }
     )
-    return base, later.where(~mine | (sale % 19 != 0))
+    return base, later
 
 
-DEPOIS = """
+EXECUCAO = """
 execucao as (
   select empresa, obra, num_venda as antiga, case when num_venda % 17 = 0 then -num_venda else num_venda end as num_venda,
     num_venda % 11 = 0 or (num_venda % 13 = 0 and dias_atraso is not null) as mudou
@@ -47,7 +47,7 @@ execucao as (
         union all select empresa, obra, num_venda, case when num_venda <> antiga then 'ENTROU' else 'MUDOU' end
         from execucao where num_venda <> antiga or mudou""",
         *LIVE_PARTS,
-        DEPOIS,
+        EXECUCAO,
     ),
 )
 def moved_sales(spark, sf):
