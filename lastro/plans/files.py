@@ -45,8 +45,10 @@ def read_snapshot_override(spark, sf):
 @section.query("read_official_table", _ROWS)
 def read_official_table(spark, sf):
     """A month published as a catalog table and read by its name."""
-    files.publish_official_table(_snapshot(spark, sf), "base_oficial_07_1998", run_folder(spark, "oficial"))
-    return files.read_official_table(spark, "base_oficial_07_1998").select(*_SHOWN)
+    folder = run_folder(spark, "oficial")
+    name = "base_oficial_07_1998_" + folder.rsplit("-", 1)[1]  # a run of its own does not replace another's table
+    files.publish_official_table(_snapshot(spark, sf), name, folder)
+    return files.read_official_table(spark, name).select(*_SHOWN)
 
 
 @section.query(

@@ -11,6 +11,7 @@ from lastro.operators import reconcile as K
 from lastro.plans.close import AUDIT_PARTS, CLOSE_PARTS
 from lastro.plans.ledger import CONTAS, MES_ANTERIOR, TOTAIS
 from lastro.plans.oracle_tables import with_tables
+from lastro.plans.published import published
 from lastro.plans.registry import Section
 from lastro.plans.rulings import NUCLEO
 from lastro.sources import standin as S
@@ -30,13 +31,17 @@ def _published(core, people):
     return named.withColumnsRenamed({**_PUBLISHED, "nome": "nomecliente", "cpf": "cpf_pes"})
 
 
-def official(spark, sf):
-    """The re-executed close, under its published names."""
+def _closed(spark, sf):
     erp = S.erp(spark, sf)
     core = B.close_core(erp, S.PORTFOLIO, S.CLOSE, [*OFFICIAL_COLUMNS, "distrato_apos_fechamento"])
     return _published(core, erp.people)
 
 
+def official(spark, sf):
+    """The official month: the re-executed close as it was published."""
+    return published(spark, sf, "oficial", lambda: _closed(spark, sf))
+
+
 def known_at(spark, sf, window, columns):
     """The live base as it looked on a day: receipts paid and posted by then."""
     erp = S.erp(spark, sf)
@@ -49,11 +54,18 @@ _MINIMAL = ["empresa", "obra", "num_venda", "status_sorteio", "cupons_casas", "c
 
 
 def photo(spark, sf):
-    return known_at(spark, sf, S.PHOTO, _MINIMAL).withColumnsRenamed(_PUBLISHED)
+    """The archived photo of a day."""
+    return published(spark, sf, "foto", lambda: known_at(spark, sf, S.PHOTO, _MINIMAL).withColumnsRenamed(_PUBLISHED))
 
 
 def live(spark, sf):
-    return known_at(spark, sf, S.LIVE, _MINIMAL).withColumnsRenamed(_PUBLISHED)
+    """The published live base."""
+    return published(spark, sf, "viva", lambda: known_at(spark, sf, S.LIVE, _MINIMAL).withColumnsRenamed(_PUBLISHED))
+
+
+def audit(spark, sf):
+    """The published audit base of the close."""
+    return published(spark, sf, "auditoria", lambda: B.close_full(S.erp(spark, sf), S.PORTFOLIO, S.CLOSE))
 
 
 def _official_side(spark, sf):
@@ -244,8 +256,7 @@ _AUDITED = (
 
 
 def _situations(spark, sf):
-    audit = B.close_full(S.erp(spark, sf), S.PORTFOLIO, S.CLOSE)
-    joined = K.left_base_join(_photo_side(spark, sf), audit)
+    joined = K.left_base_join(_photo_side(spark, sf), audit(spark, sf))
     return K.contract_situation(K.rescue_loss_flags(joined, "foto"))
 
 

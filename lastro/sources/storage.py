@@ -78,3 +78,10 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     store, place = _place(spark, path)
     store.delete(place, True)
+
+
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and time of change of what a folder holds directly."""
+    store, place = _place(spark, folder)
+    held = ((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in store.listStatus(place))
+    return tuple(sorted(held))
