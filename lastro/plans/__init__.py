@@ -1,4 +1,5 @@
 from lastro.plans import (
+    asof,
     audits,
     boards,
     classification,
@@ -26,6 +27,7 @@ SECTIONS = [
         rulings,
         refresh,
         digests,
+        asof,
         close,
         closes,
         audits,
