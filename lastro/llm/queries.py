@@ -77,20 +77,36 @@ def _runs(name: str, pattern: str, kind: str, rank: int, keep: str = "true") ->
            from {name}_each where {keep})"""
 
 
-def _entropy(name: str, shape: secrets.CharacterClass, rank: int) -> str:
+def _entropy(name: str, shape: secrets.CharacterClass, rank: int, taken: str) -> str:
+    """Runs without the taken characters, their pieces without harmless parts, and those whose best window passes."""
     value = "lower(value)" if shape.fold else "value"
     keep = " and ".join(f"regexp_matches(value, '{need}')" for need in shape.needs)
-    drop = " and ".join(f"not regexp_matches(value, '{allowed}')" for allowed in secrets.ALLOWED)
+    harmless = "|".join(f"(?:{pattern})" for pattern in secrets.ALLOWED)
     return (
-        _runs(f"{name}_all", f"[{shape.characters}]{{{shape.least},}}", shape.kind, rank, f"{keep} and {drop}")
+        _runs(f"{name}_all", f"[{shape.characters}]{{{shape.least},}}", shape.kind, rank)
         + rf""",
+{name}_runs as (select *, row_number() over () as run from {name}_all),
+{name}_chars as (select r, run, "start" + i as at_, value[i + 1] as c from
+                 (select *, unnest(range(length(value))) as i from {name}_runs)),
+{name}_free as (select *, at_ - row_number() over (partition by run order by at_) as island from {name}_chars h
+                where not exists (select 1 from {taken} b where b.r = h.r and b.start <= at_ and at_ < b.start + length(b.value))),
+{name}_pieces as (select r, min(at_) as begins, string_agg(c, '' order by at_) as whole from {name}_free
+                  group by r, run, island having count(*) >= {shape.least}),
+{name}_split as (select *, regexp_extract_all(whole, $re${harmless}$re$) as hits, regexp_split_to_array(whole, $re${harmless}$re$) as gaps
+                 from {name}_pieces),
+{name}_parts as (select r, begins, hits, gaps, unnest(gaps) as value, unnest(range(len(gaps))) as i from {name}_split),
+{name}_long as (
+  select r, '{shape.kind}' as kind, {rank} as rank, value,
+         (begins + coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+          + coalesce(list_sum(list_transform(hits[1:i], lambda x: length(x))), 0))::bigint as "start"
+  from {name}_parts where length(value) >= {shape.least} and {keep}),
 {name}_windows as (select distinct value, substr({value}, w::bigint, {shape.window}) as part
-                   from (select value, unnest(range(1, length(value) - {shape.window} + 2)) as w from {name}_all)),
+                   from (select value, unnest(range(1, length(value) - {shape.window} + 2)) as w from {name}_long)),
 {name}_sums as (select value, part, sum(round(n * log2(n) * 1000000)::bigint) as gained
                 from (select value, part, c, count(*) as n
                       from (select value, part, unnest(string_split(part, '')) as c from {name}_windows)
                       group by all) group by all),
-{name} as (select * from {name}_all where value in
+{name} as (select * from {name}_long where value in
            (select value from {name}_sums group by value having min(gained) <= {secrets.least_gain(shape)}))"""
     )
 
@@ -101,14 +117,10 @@ with rows as (select doc_id, coalesce(text, '') as text, row_number() over () as
 {_runs("access", secrets.ACCESS, "access", 1)},
 {_runs("hex", secrets.HEX, "hex", 2)},
 base as (select * from assign union all select * from access union all select * from hex),
-{_entropy("ehex", secrets.HEX_CLASS, 3)},
-hexes as (select * from ehex e where not exists
-          (select 1 from base b where b.r = e.r and e.start < b.start + length(b.value) and b.start < e.start + length(e.value))),
-taken as (select * from base union all select * from hexes),
-{_entropy("ebase", secrets.BASE64_CLASS, 4)},
-found as (select *, true as base from base union all select *, false from hexes union all
-          select *, false from ebase e where not exists
-          (select 1 from taken b where b.r = e.r and e.start < b.start + length(b.value) and b.start < e.start + length(e.value))),
+{_entropy("ehex", secrets.HEX_CLASS, 3, "base")},
+taken as (select * from base union all select * from ehex),
+{_entropy("ebase", secrets.BASE64_CLASS, 4, "taken")},
+found as (select *, true as base from base union all select *, false from ehex union all select *, false from ebase),
 spelled as (select *, kind || ':' || "start" || ':' || ("start" + length(value)) as span from found),
 totals as (
   select r, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access,

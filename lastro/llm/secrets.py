@@ -2,7 +2,9 @@
 
 Positions are code points. A span's place follows from the lengths of the texts
 between the matches and of the matches before it, so no text is cut into characters.
-Candidates are long runs of one character class. A window slides over a candidate
+Candidates are long runs of one character class, without what is known to be harmless and
+without what is reported already: such parts are cut out of a run, and each piece that is
+long enough is judged on its own. A window slides over a candidate
 with its counts per character; a step changes two counts, and the sum of c * log2(c)
 by their two terms. Sums are kept in millionths as integers: no rounding drifts.
 Only built-in functions are used.
@@ -31,7 +33,7 @@ MILLION = 1_000_000
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Candidates of one class: runs of ``least`` or more characters whose best window
+    """Candidates of one class: pieces of ``least`` or more characters whose best window
     of ``window`` characters reaches ``bits`` per character, and which match all of ``needs``."""
 
     kind: str
@@ -50,7 +52,7 @@ BASE64_CLASS = CharacterClass(
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", False, 3.9, ("[0-9]", "[A-Z]", "[a-z]"),
 )
 CLASSES = (HEX_CLASS, BASE64_CLASS)
-#: Candidates that match any of these are no secrets.
+#: What matches any of these is no part of a secret.
 ALLOWED = (
     "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
     "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]",
@@ -126,27 +128,69 @@ def lowest_sum(candidate: Column, shape: CharacterClass) -> Column:
     return F.aggregate(steps, start, slide, lambda state: state["least"])
 
 
-def entropy_spans(text: Column, shape: CharacterClass, rank: int, allowed: tuple[str, ...] = ALLOWED) -> Column:
-    candidates = spans(text, f"[{shape.characters}]{{{shape.least},}}", shape.kind, rank)
+_PIECE = "array<struct<start:int,value:string>>"
+
+
+def _without(run: Column, taken: Column, least: int) -> Column:
+    """Pieces of a run outside the taken spans, as ``start, value``."""
+    over = F.array_sort(F.filter(taken, lambda span: (span["start"] < run["end"]) & (run["start"] < span["end"])))
+    empty = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("free"))
+
+    def cut(state: Column, span: Column) -> Column:
+        piece = F.struct(state["at"].alias("start"), span["start"].alias("end"))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["free"], F.array(piece)).alias("free"))
+
+    free = F.aggregate(over, empty, cut, lambda state: F.concat(state["free"], F.array(F.struct(state["at"].alias("start"), run["end"].alias("end")))))
+    long_enough = F.filter(free, lambda piece: piece["end"] - piece["start"] >= least)
+    return F.transform(
+        long_enough,
+        lambda piece: F.struct(
+            piece["start"].alias("start"),
+            F.substring(run["value"], piece["start"] - run["start"] + 1, piece["end"] - piece["start"]).alias("value"),
+        ),
+    )
+
+
+def _between(piece: Column, pattern: str) -> Column:
+    """Pieces of a piece between the matches of a pattern, as ``start, value``."""
+    parts = F.arrays_zip(
+        F.split(piece["value"], pattern, -1).alias("value"),
+        F.regexp_extract_all(piece["value"], F.lit(pattern), F.lit(0)).alias("after"),
+    )
+    empty = F.struct(piece["start"].alias("at"), F.array().cast(_PIECE).alias("out"))
+
+    def add(state: Column, part: Column) -> Column:
+        one = F.struct(state["at"].alias("start"), part["value"].alias("value"))
+        at = state["at"] + F.length(part["value"]) + F.coalesce(F.length(part["after"]), F.lit(0))
+        return F.struct(at.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+
+    return F.aggregate(parts, empty, add, lambda state: state["out"])
+
+
+def entropy_spans(text: Column, taken: Column, shape: CharacterClass, rank: int, allowed: tuple[str, ...] = ALLOWED) -> Column:
+    runs = spans(text, f"[{shape.characters}]{{{shape.least},}}", shape.kind, rank)
+    pieces = F.flatten(F.transform(runs, lambda run: _without(run, taken, shape.least)))
+    if allowed:
+        harmless = "|".join(f"(?:{pattern})" for pattern in allowed)
+        pieces = F.flatten(F.transform(pieces, lambda piece: _between(piece, harmless)))
+    candidates = F.transform(
+        F.filter(pieces, lambda piece: F.length(piece["value"]) >= shape.least),
+        lambda piece: F.struct(
+            piece["start"].alias("start"), F.lit(rank).alias("rank"),
+            (piece["start"] + F.length(piece["value"])).alias("end"), F.lit(shape.kind).alias("kind"), piece["value"].alias("value"),
+        ),
+    )
 
     def plausible(candidate: Column) -> Column:
         holds = F.lit(True)
         for need in shape.needs:
             holds = holds & candidate["value"].rlike(need)
-        for pattern in allowed:
-            holds = holds & ~candidate["value"].rlike(pattern)
         return holds
 
     candidates = F.filter(candidates, plausible)
     return F.filter(candidates, lambda c: lowest_sum(c["value"], shape) <= least_gain(shape))
 
 
-def _apart(these: Column, taken: Column) -> Column:
-    return F.filter(
-        these, lambda a: ~F.exists(taken, lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"]))
-    )
-
-
 def scan(
     df: DataFrame, key: str = "doc_id", text: str = "text", classes: tuple[CharacterClass, ...] = CLASSES,
     allowed: tuple[str, ...] = ALLOWED,
@@ -154,8 +198,8 @@ def scan(
     """One row per row: the key, the base spans and the added ones, each sorted by start and kind.
 
     A null text is empty and has no spans. Repeated rows and null keys stay. Other columns
-    are ignored. A candidate that overlaps a base span, or one of a class before its own,
-    is not added: it is reported already.
+    are ignored. What a base span covers, or a span of a class before, is cut out of a
+    candidate: it is reported already.
     """
     rows = df.select(ref(key).alias(key), F.coalesce(ref(text), F.lit("")).alias("t"))
     value_end = F.filter(
@@ -168,8 +212,8 @@ def scan(
     )
     names = ["assign", "access", "hex"]
     for number, shape in enumerate(classes):
-        found = entropy_spans(F.col("t"), shape, 3 + number, allowed)
-        base = base.withColumn(shape.kind, _apart(found, F.concat(*names)))
+        base = base.withColumn("taken", F.concat(*names))
+        base = base.withColumn(shape.kind, entropy_spans(F.col("t"), F.col("taken"), shape, 3 + number, allowed))
         names.append(shape.kind)
     ordered = lambda *parts: F.array_sort(F.concat(*parts))
     return base.select(
