@@ -9,6 +9,7 @@ from lastro.plans import (
     corrections,
     digests,
     files,
+    history,
     kpis,
     ledger,
     quality,
@@ -28,6 +29,7 @@ SECTIONS = [
         refresh,
         digests,
         asof,
+        history,
         close,
         closes,
         audits,
