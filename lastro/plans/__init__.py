@@ -3,6 +3,7 @@ from lastro.plans import (
     audits,
     boards,
     classification,
+    clients,
     close,
     closes,
     contracts,
@@ -30,6 +31,7 @@ SECTIONS = [
         digests,
         asof,
         history,
+        clients,
         close,
         closes,
         audits,
