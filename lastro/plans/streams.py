@@ -6,10 +6,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lastro.plans.oracle_tables import dbl
+from lastro.plans.contracts import CESSAO
+from lastro.plans.ledger import TOTAIS
+from lastro.plans.oracle_tables import KEY, dbl, with_tables
 from lastro.plans.registry import Section
 from lastro.sources import standin as S
 from lastro.sources.storage import run_folder
+from lastro.streaming import cessions as Y
 from lastro.streaming import receipts as X
 
 section = Section()
@@ -59,3 +62,26 @@ def stream_late_postings(spark, sf):
     path, checkpoint = _sink(spark, "tardias")
     X.run_available(X.route_late(_events(spark, sf), "ts", CUTOFF), path, checkpoint, "append")
     return spark.read.parquet(path).select("event_id", "destino")
+
+
+_CUT = ["valor_recebido", "valor_gera_cupom", "valor_cupom_mes", "valor_recebido_mes", "valor_antecipado", "valor_recuperado"]
+
+
+@section.query(
+    "stream_cession_cut",
+    with_tables(
+        f"""select {KEY}, {", ".join(dbl(f"coalesce({name}, 0)", name) for name in _CUT)}, pagou_vencida_antes, antecipou, recuperou,
+        ultimo_recebimento from totais""",
+        CESSAO,
+        TOTAIS,
+    ),
+)
+def stream_cession_cut(spark, sf):
+    """Receipts first, the cessions that cut them afterwards."""
+    root = run_folder(spark, "cessoes")
+    live = S.LIVE
+    totals = Y.CededTotals(spark, root, S.PORTFOLIO, live.start, live.end, live.month_start, buckets=16)
+    for name, make, take in (("lineitem", S.receipts_of, totals.on_receipts), ("orders", S.history_of, totals.on_cessions)):
+        stream = X.read_stream(spark, sf, S.table(spark, sf, name).schema, f"{name}.parquet")
+        Y.run_available(make(stream), take, f"{root}/checkpoint-{name}")
+    return totals.current()

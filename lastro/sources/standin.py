@@ -181,7 +181,10 @@ def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    return history_of(table(spark, sf_dir, "orders"))
+
+
+def history_of(orders: DataFrame) -> DataFrame:
     entries = """explode(filter(array(
         case when o_orderkey % 20 = 0 then named_struct('n', 1, 't', 2, 'd', 365, 'a', 7, 's', 1) end,
         case when o_orderkey % 40 = 0 then named_struct('n', 2, 't', 2, 'd', 400, 'a', 3, 's', 2) end,
@@ -241,7 +244,11 @@ def valuations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'")
+    return receipts_of(table(spark, sf_dir, "lineitem"))
+
+
+def receipts_of(lineitem: DataFrame) -> DataFrame:
+    lines = lineitem.where("l_linestatus = 'F'")
     signed = f"case when l_partkey % 53 = 0 then -{_PRICE} else {_PRICE} end"
     return lines.selectExpr(
         *_INSTALMENT,
