@@ -1,4 +1,4 @@
-"""Client counts of several boards from one cube."""
+"""Client counts of several boards from one cube, and a search by index."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lastro.operators import clients as N
-from lastro.plans.oracle_tables import with_contract
+from lastro.operators.search import ClientIndex
+from lastro.plans.oracle_tables import dbl, with_contract
 from lastro.plans.published import published
 from lastro.plans.registry import Section
 from lastro.sources import standin as S
+from lastro.sources.storage import run_folder
 
 section = Section()
 CLIENT = "cpf_titular"
@@ -51,3 +53,20 @@ _BOARDS = [
 def client_counts(spark, sf):
     cells = client_cube(spark, sf)
     return reduce(lambda a, b: a.unionByName(b), [_board(cells, n, d, F.expr(w) if w else None) for n, d, w in _BOARDS])
+
+
+_FOUND = "nome_cliente like '%#00000007%' or telefone like '%9017' or num_venda = '99'"
+
+
+@section.query(
+    "client_search",
+    with_contract(
+        f"""select cpf_titular, nome_cliente, empresa, obra, num_venda, cidade, status_cadastro, status_elegibilidade,
+        cupons_calculados, cupons_oficiais, {dbl("valor_total_recebido")} from contrato where cpf_titular in (
+          select cpf_titular from contrato where cpf_titular = '00000000042' or {_FOUND}) or (cpf_titular is null and ({_FOUND}))"""
+    ),
+)
+def client_search(spark, sf):
+    index = ClientIndex(spark, run_folder(spark, "busca"), buckets=16)
+    index.build(S.contract_frame(spark, sf))
+    return index.search(tax_id="000.000.000-42", name=" #00000007", phone="9017", sale="99")

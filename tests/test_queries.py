@@ -16,7 +16,8 @@ CROSS_SECTION = [
     "received_total", "technical_receipt_new", "bronze_to_contract", "parse_money_export", "kpis_portfolio",
     "receipts_daily", "clients_weekday", "city_summary", "export_rollup", "reconciliation_summary",
     "diagnosis_text", "class_summary", "close_structural_checks", "refresh_window", "read_export_csv", "append_run_log",
-    "read_official_table",
+    "read_official_table", "close_months", "live_base_refreshed", "moved_sales", "receipt_owner_asof", "photos_read_back",
+    "receipts_still_to_come", "client_counts", "client_search", "stream_cession_cut", "stream_coupons_by_contract",
 ]
 
 
