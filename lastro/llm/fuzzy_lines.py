@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lastro.llm.buckets import across_blocks, crowded, linked
+from lastro.llm.buckets import LINKS, across_blocks, crowded
 from lastro.llm.components import components
 from lastro.llm.frames import checkpoint, identity, ref
 from lastro.llm.sketch import Shape, repeated
@@ -59,6 +59,28 @@ def line_id(line: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _rolled(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of the lines, one after the other, and each line's number of them (at least one)."""
+    padded = [line.ljust(size, "\0") for line in lines]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    lengths = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
+    ends = np.cumsum(lengths)
+    hashes = codes.astype(np.uint64)
+    count = len(hashes) - size + 1
+    rolled = hashes[:count].copy()
+    for offset in range(1, size):
+        rolled *= _BASE
+        rolled += hashes[offset : offset + count]
+    rolled ^= rolled >> np.uint64(32)
+    rolled *= np.uint64(0xD6E8FEB86659FD93)
+    rolled ^= rolled >> np.uint64(32)
+    whole = np.ones(count, dtype=bool)  # without shingles that would run into the next line
+    for offset in range(1, size):
+        inside = ends - offset
+        whole[inside[inside < count]] = False
+    return rolled[whole], lengths - size + 1
+
+
 def _signatures(lines: list[str], shape: Banding) -> np.ndarray:
     """``bands`` bucket hashes of each line."""
     count = shape.bands * shape.rows
@@ -72,27 +94,10 @@ def _signatures(lines: list[str], shape: Banding) -> np.ndarray:
         while high < len(lines) and (high == low or held + len(lines[high]) <= CHARS):
             held += max(shape.shingle, len(lines[high]))
             high += 1
-        padded = [line.ljust(shape.shingle, "\0") for line in lines[low:high]]
-        codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        lengths = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
-        ends = np.cumsum(lengths)
-        hashes = codes.astype(np.uint64)
-        size = len(hashes) - shape.shingle + 1
-        rolled = hashes[:size].copy()
-        for offset in range(1, shape.shingle):
-            rolled *= _BASE
-            rolled += hashes[offset : offset + size]
-        rolled ^= rolled >> np.uint64(32)
-        rolled *= np.uint64(0xD6E8FEB86659FD93)
-        rolled ^= rolled >> np.uint64(32)
-        whole = np.ones(size, dtype=bool)  # without shingles that would run into the next line
-        for offset in range(1, shape.shingle):
-            inside = ends - offset
-            whole[inside[inside < size]] = False
-        short = rolled.astype(np.uint32)[whole]
-        counts = lengths - shape.shingle + 1
+        rolled, counts = _rolled(lines[low:high], shape.shingle)
+        short = rolled.astype(np.uint32)
         starts = np.cumsum(counts) - counts
-        keys = np.zeros((shape.bands, len(padded)), dtype=np.uint64)
+        keys = np.zeros((shape.bands, high - low), dtype=np.uint64)
         varied = np.empty_like(short)
         for number in range(count):
             np.bitwise_xor(short, masks[number], out=varied)
@@ -178,11 +183,13 @@ def similar(a: set[str], b: set[str], similarity: float) -> bool:
     return both >= similarity * (small + large - both)
 
 
-#: Lines from which on a group is compared through numbered shingles. Both ways find the same components.
-MANY = 24
+#: Lines from which on a group is compared by counting. Both ways find the same components.
+MANY = 16
+#: Characters of groups whose shingles are hashed together.
+PIECE = 1 << 18
 
 
-def _few(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
+def _few(sets: list[set], similarity: float) -> list[tuple[int, int]]:
     links: list[tuple[int, int]] = []
     unseen = list(range(len(sets)))
     while unseen:
@@ -199,20 +206,23 @@ def _few(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
     return links
 
 
-def _many(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
-    """A line meets all others at once, by counting which of its numbered shingles they have.
+def _many(hashed: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A line meets all others at once, by counting which of its shingles they have.
 
     Memory grows with the group's shingles, not with its pairs.
     """
-    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-    numbers: dict[str, int] = {}
-    every = (numbers.setdefault(shingle, len(numbers)) for each in sets for shingle in each)
-    codes = np.fromiter(every, dtype=np.int64, count=int(sizes.sum()))
+    counts = np.fromiter(map(len, hashed), dtype=np.int64, count=len(hashed))
+    owner, hashes = np.repeat(np.arange(len(hashed)), counts), np.concatenate(hashed)
+    hashes = hashes[np.lexsort((hashes, owner))]  # the owners stay as they were
+    fresh = np.ones(len(hashes), dtype=bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    distinct, codes = np.unique(hashes[fresh], return_inverse=True)
+    sizes = np.bincount(owner[fresh], minlength=len(hashed))
     starts = np.cumsum(sizes) - sizes
-    has = np.zeros(len(numbers), dtype=np.int16)
-    unseen = np.ones(len(sets), dtype=bool)
+    has = np.zeros(len(distinct), dtype=np.int16)
+    unseen = np.ones(len(hashed), dtype=bool)
     links: list[tuple[int, int]] = []
-    for seed in range(len(sets)):
+    for seed in range(len(hashed)):
         if not unseen[seed]:
             continue
         unseen[seed], queue = False, [seed]
@@ -229,10 +239,97 @@ def _many(sets: list[set[str]], similarity: float) -> list[tuple[int, int]]:
     return links
 
 
-def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
+def _hashed(lines: list[str], size: int) -> list[np.ndarray]:
+    """Each line's shingles as 64-bit hashes, repeats included."""
+    hashes, counts = _rolled(lines, size)
+    return np.split(hashes, np.cumsum(counts)[:-1])
+
+
+def _spanning(hashed: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Spanning links of exact Jaccard similarity, by breadth-first search over lines not yet reached."""
-    sets = [shingles(line, shape.shingle) for line in group.column("line").to_pylist()]
-    return (_few if len(sets) < MANY else _many)(sets, shape.similarity)
+    if len(hashed) >= MANY:
+        return _many(hashed, similarity)
+    return _few([set(own.tolist()) for own in hashed], similarity)
+
+
+def _alike(shape: Banding, group: pa.RecordBatch) -> list[tuple[int, int]]:
+    return _spanning(_hashed(group.column("line").to_pylist(), shape.shingle), shape.similarity)
+
+
+class _Reached:
+    """Which lines the links of this task connect already. Grows with the links found, not with the pairs."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        path = []
+        while (above := self.up.get(node, node)) != node:
+            path.append(node)
+            node = above
+        for below in path:
+            self.up[below] = node
+        return node
+
+    def one(self, nodes: list[int]) -> bool:
+        first = self.root(nodes[0])
+        return all(self.root(node) == first for node in nodes[1:])
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.root(a)] = self.root(b)
+
+
+def _linked_lines(shape: Banding, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with the same ``bucket, block`` are one group; groups that are connected already are passed over."""
+    reached = _Reached()
+
+    def links(groups: list[tuple[list[int], list[str]]]) -> Iterator[pa.RecordBatch]:
+        groups = [(ids, lines) for ids, lines in groups if len(ids) > 1 and not reached.one(ids)]
+        if not groups:
+            return
+        hashed = _hashed([line for _, lines in groups for line in lines], shape.shingle)
+        found, at = [], 0
+        for ids, _ in groups:
+            own, at = hashed[at : at + len(ids)], at + len(ids)
+            if not reached.one(ids):
+                for a, b in _spanning(own, shape.similarity):
+                    reached.join(ids[a], ids[b])
+                    found.append((ids[a], ids[b]))
+        if found:
+            yield _pairs(found)
+
+    key, ids, lines = None, [], []  # the last group, which may go on
+    waiting: list[tuple[list[int], list[str]]] = []
+    held = 0
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy(zero_copy_only=False)
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        if not len(bucket):
+            continue
+        all_ids, all_lines = batch.column("id").to_pylist(), batch.column("line").to_pylist()
+        edges = [0, *(np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1).tolist(), len(bucket)]
+        for start, stop in zip(edges, edges[1:], strict=False):
+            now = (bucket[start], block[start])
+            if now != key:
+                waiting.append((ids, lines))
+                held += sum(map(len, lines))
+                key, ids, lines = now, [], []
+                if held > PIECE:
+                    yield from links(waiting)
+                    waiting, held = [], 0
+            ids = ids + all_ids[start:stop]
+            lines = lines + all_lines[start:stop]
+    yield from links([*waiting, (ids, lines)])
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _of_groups(groups: DataFrame, shape: Banding) -> DataFrame:
+    """``a, b`` of rows that are sorted by ``bucket, block``."""
+    return groups.mapInArrow(partial(_linked_lines, shape), LINKS)
 
 
 def links(
@@ -257,12 +354,11 @@ def links(
     found = df.select(ref(text).alias("t")).mapInArrow(partial(_wanted, shared), "id long, line string")
     texts = checkpoint(found.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")))
     told = members.join(texts, "id")
-    alike = partial(_alike, shape)
-    out = linked(told.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "id"), alike)
+    out = _of_groups(told.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "id"), shape)
     large = members.where("block > 0").select("bucket").distinct()
     if large.isEmpty():
         return out
-    return out.unionAll(across_blocks(told.join(large, "bucket", "left_semi"), alike))
+    return out.unionAll(across_blocks(told.join(large, "bucket", "left_semi"), partial(_alike, shape)))
 
 
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", shape: Banding = Banding()) -> DataFrame:
