@@ -97,8 +97,8 @@ def judge(
     verdict is ``default`` and the rule null. A null url, or one without ``://``, has an empty
     host and path. Repeated rows and null keys stay; extra columns are ignored.
 
-    Keys are cut into ranges at boundaries taken from a bounded set of keys (the smallest
-    hashes, ``SAMPLES`` per boundary). Urls of one host spread over ranges by path and
+    Keys are cut into ranges at boundaries taken from a bounded set of keys (one of each of
+    ``SAMPLES`` classes of hashes per boundary). Urls of one host spread over ranges by path and
     a hash of the row. A rule goes to every range its interval meets, found by comparing it
     with the boundaries, so that each range can be swept by itself.
     """
@@ -107,7 +107,10 @@ def judge(
     salt = F.lpad(F.hex(F.xxhash64("row", "path")), 16, "0")
     # Only the key has a meaning in the sweep; path and salt part the rows of one host.
     urls = rows.select("*", host_key(F.col("host")).alias("key"), salt.alias("salt"))
-    sampled = urls.select("key", "path", "salt").orderBy("salt").limit(count * SAMPLES).collect()
+    # One url of each class of a second hash: as many as there are classes reach the driver, however many tasks read.
+    classes = F.pmod(F.xxhash64("row", "path", F.lit(7)), F.lit(count * SAMPLES))
+    drawn = urls.groupBy(classes.alias("class")).agg(F.min(F.struct("salt", "key", "path")).alias("s"))
+    sampled = drawn.select("s.key", "s.path", "s.salt").collect()
     bounds = sorted(tuple(row) for row in sampled)[SAMPLES::SAMPLES]
     events = urls.select(
         F.lit(1).alias("kind"), "row", "host", "path", F.lit(None).cast("string").alias("action"), "key", "salt"
