@@ -21,9 +21,9 @@ def _snapshot(spark, sf):
 
 
 def _stored(spark, sf, name: str) -> str:
-    """A snapshot directory of several part files."""
+    """A snapshot directory of part files, as many as the splits of the input."""
     path = run_folder(spark, name)
-    _snapshot(spark, sf).repartition(4, "venda").write.parquet(path)
+    _snapshot(spark, sf).write.parquet(path)
     return path
 
 
