@@ -52,11 +52,14 @@ class ClientIndex:
         rows = rows.withColumn("_balde", self._bucket(F.col("_grupo")))
         rows.repartition("_balde").write.partitionBy("_balde").parquet(f"{self.path}/linhas")
         digits = lambda name: F.regexp_replace(name, r"\D", "")
+        # A client's sales repeat the name and the numbers, so these are cut into pieces once per spelling.
+        contacts = rows.select("_grupo", "nome_cliente", "telefone", "cpf_titular").distinct()
         tokens = F.concat(
             _pieces(F.coalesce(F.upper(fold_accents(F.col("nome_cliente"))), F.lit("")), "n"),
-            _pieces(F.coalesce(digits("telefone"), F.lit("")), "t"), _whole(digits("cpf_titular"), "c"), _whole(F.col("num_venda"), "v"),
+            _pieces(F.coalesce(digits("telefone"), F.lit("")), "t"), _whole(digits("cpf_titular"), "c"),
         )
-        postings = rows.select("_grupo", F.explode(tokens).alias("token")).distinct()
+        sales = rows.select("_grupo", F.explode(_whole(F.col("num_venda"), "v")).alias("token"))
+        postings = contacts.select("_grupo", F.explode(tokens).alias("token")).unionAll(sales).distinct()
         dealt = postings.withColumn("_balde", self._bucket(F.col("token")))
         dealt.repartition("_balde").sortWithinPartitions("_balde", "token").write.partitionBy("_balde").parquet(f"{self.path}/postos")
         counts = self.spark.read.parquet(f"{self.path}/postos").groupBy("_balde", "token").agg(F.count(F.lit(1)).alias("n"))
