@@ -152,19 +152,22 @@ def mix(
     df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
     weights: tuple[int, ...] = WEIGHTS, schedules: tuple[Schedule, ...] = SCHEDULES,
 ) -> DataFrame:
-    """``key, size, source_size, target, taken, position`` of every row.
-
-    ``taken`` counts the words the mix takes of the document, repeats included; ``position``
-    is where it first stands in training, null if nothing of it is taken. A null source is
-    a source. Repeated rows are documents of their own; those that agree in everything may
-    stand for each other. A null text has size 0 and is never taken. Other columns are ignored.
+    """``key, size, source_size, target, taken, position`` of every row, in training order.
+
+    The passes are laid out along the schedules as ``curriculum`` does, and read back per
+    document: ``taken`` adds up the words of its passes, repeats included; ``position`` is
+    the first of their places in training, null if nothing of it is taken. Documents never
+    taken come last. A null source is a source. Repeated rows are documents of their own;
+    those that agree in everything may stand for each other. A null text has size 0 and is
+    never taken. Other columns are ignored.
     """
-    rows = placed(checkpoint(sized(df, key, source, text)), weights)
-    taken = F.col("size") * F.col("whole") + _last()
-    return rows.select(
-        F.col("key").alias(key), "size", "source_size", "target", taken.alias("taken"),
-        F.when(taken > 0, _time(F.col("before"), schedules)).alias("position"),
-    )
+    docs = checkpoint(sized(df, key, source, text).withColumn("row", F.monotonically_increasing_id()))
+    rows = checkpoint(placed(docs, weights))
+    laid = passes(rows, schedules).where("words > 0").groupBy("row")
+    seen = laid.agg(F.sum("words").alias("taken"), F.min("position").alias("position"))
+    order = rows.join(seen, "row", "left").orderBy(F.col("position").asc_nulls_last(), "place", "before", "row")
+    taken = F.coalesce("taken", F.lit(0).cast("long"))
+    return order.select(F.col("key").alias(key), "size", "source_size", "target", taken.alias("taken"), "position")
 
 
 def curriculum(
