@@ -5,9 +5,10 @@ holds for a range of cutoffs: a receipt counts from the first cutoff after its p
 day; a late one marks its sale at the cutoffs after the due day and up to the payment;
 an open instalment is overdue at the cutoffs after its due day and up to the first
 payment of its key. So each row becomes the two ends of a range on the sorted cutoffs.
-Rows of a sale with the same ends are added up first (map side), and one sweep over the
-few that remain gives the state at every cutoff. The ledgers are read as often as for a
-single close, and everything that joins on the sale joins once, before the cutoffs part.
+Rows of a sale with the same ends are added up first (map side); the few ranges that remain
+are carried through the joins on the sale, and the state at a cutoff is read off them once
+the cutoffs part, after everything that joins on the sale has joined. The ledgers are read
+as often as for a single close.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastro.functions.money import base_amount, full_amount, zero_amount
 from lastro.operators import base as B
@@ -57,11 +59,12 @@ def _at(days: list[date], place: Column) -> Column:
 
 _SUMS = ("valor_recebido", "valor_gera_cupom", "valor_antecipado", "valor_recuperado")
 _MONTH = ("valor_cupom_mes", "valor_recebido_mes")
+_LATEST = ("recebeu", "antecipou", "recuperou", "ultimo_recebimento")
 
 
-def receipts_by_cutoff(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, windows: Sequence[CloseWindow]) -> DataFrame:
-    """Per sale ``recebimentos``, a map from the place of a cutoff to what ``close_window_receipts``
-    gives for it, and ``pagou_vencida_antes``. Cutoffs before a sale's first receipt are absent."""
+def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, windows: Sequence[CloseWindow]) -> DataFrame:
+    """Per sale ``recebimentos``, steps that hold from the place of a cutoff up to that of another, with what
+    ``close_window_receipts`` gives for these, and ``pagou_vencida_antes``. Cutoffs before a sale's first receipt are in none."""
     windows = _checked(windows)
     start, count = windows[0].start, len(windows)
     due, paid = F.col("vencimento"), F.col("pago_em")
@@ -119,21 +122,39 @@ def receipts_by_cutoff(receipts: DataFrame, ceded: DataFrame, portfolio: Portfol
     swept = steps.select(
         *SALE_KEY, "k", "pagou_vencida_antes", *_MONTH,
         *(F.sum(name).over(so_far).alias(name) for name in _SUMS),
-        *(F.max(name).over(so_far).alias(name) for name in ("recebeu", "antecipou", "recuperou", "ultimo_recebimento")),
+        *(F.max(name).over(so_far).alias(name) for name in _LATEST),
         F.when(F.sum("tardias").over(so_far) > 0, 1).alias("paga_depois"),
-        F.lead("k", 1, count).over(following).alias("_ate"),
-    ).withColumn("corte", F.explode(F.sequence("k", F.col("_ate") - 1)))
-    fresh = F.col("corte") == F.col("k")  # month totals are not carried on
-    state = F.struct(
-        *_SUMS, "recebeu", "antecipou", "recuperou", "ultimo_recebimento", "paga_depois",
-        *(F.when(fresh, F.col(name)).alias(name) for name in _MONTH),
+        F.lead("k", 1, count).over(following).alias("ate"),
     )
+    state = F.struct("k", "ate", *_SUMS, *_LATEST, "paga_depois", *_MONTH)
     return swept.groupBy(*SALE_KEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("corte", state))).alias("recebimentos"),
-        F.max("pagou_vencida_antes").alias("pagou_vencida_antes"),
+        F.collect_list(state).alias("recebimentos"), F.max("pagou_vencida_antes").alias("pagou_vencida_antes")
     )
 
 
+def _received(place: Column) -> dict[str, Column]:
+    """What the receipts of a sale come to at the cutoff of a place; null before the first."""
+    found = F.filter("recebimentos", lambda step: (step["k"] <= place) & (place < step["ate"]))
+    step = F.get(found, F.lit(0))
+    fresh = step["k"] == place  # month totals are not carried on
+    whole = {name: step[name] for name in (*_SUMS, *_LATEST, "paga_depois")}
+    return {**whole, **{name: F.when(fresh, step[name]) for name in _MONTH}}
+
+
+def receipts_by_cutoff(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, windows: Sequence[CloseWindow]) -> DataFrame:
+    """The steps of ``receipt_steps`` written out: ``recebimentos`` is a map from the place of a cutoff to its state."""
+    places = F.sequence(F.lit(0), F.lit(len(windows) - 1))
+
+    def reached(place: Column) -> Column:
+        return F.exists("recebimentos", lambda step: (step["k"] <= place) & (place < step["ate"]))
+
+    def entry(place: Column) -> Column:
+        return F.struct(place.alias("corte"), F.struct(*(value.alias(name) for name, value in _received(place).items())))
+
+    written = F.map_from_entries(F.transform(F.filter(places, reached), entry))
+    return receipt_steps(receipts, ceded, portfolio, windows).withColumn("recebimentos", written)
+
+
 # Open instalments -----------------------------------------------------------
 
 _OVERDUE = ("valor_inadimplente", "valor_juros_inadimplencia", "valor_multa_inadimplencia")
@@ -144,7 +165,7 @@ def open_by_cutoff(
     receivables: DataFrame, receipts: DataFrame, valuations: DataFrame, portfolio: Portfolio, windows: Sequence[CloseWindow]
 ) -> DataFrame:
     """Per sale the counts by type and the amount to receive, which no cutoff changes, and ``abertas``:
-    a map from the place of a cutoff to the overdue marks and amounts at it, where there are any."""
+    ranges of places of cutoffs with the overdue marks and amounts that hold in them."""
     windows = _checked(windows)
     start, count = windows[0].start, len(windows)
     due = F.col("vencimento")
@@ -173,23 +194,34 @@ def open_by_cutoff(
         F.bit_or(month).alias("_meses"),
         *(amount(name).alias(alias) for name, alias in zip(("soma_vencido", "soma_juros", "soma_multa"), _OVERDUE, strict=True)),
     )
-    # A range meets each of its cutoffs; place -1 holds what is the same at all of them.
-    covered = F.when(F.col("de") < F.col("ate"), F.sequence("de", F.col("ate") - 1)).otherwise(F.array().cast("array<int>"))
-    met = ranges.withColumn("corte", F.explode(F.concat(F.array(F.lit(-1)), covered)))
-    each = met.groupBy(*SALE_KEY, "corte").agg(
-        *(F.sum(name).alias(name) for name in (*_COUNTS, "valor_a_receber", *_OVERDUE)),
-        F.min("mais_antiga").alias("mais_antiga"), F.max("aberta_antes_campanha").alias("aberta_antes_campanha"),
-        F.bit_or("_meses").alias("_meses"),
-    )
-    whole = F.col("corte") == -1
-    mark = F.when(F.getbit(F.col("_meses"), F.greatest(F.col("corte"), F.lit(0))) == 1, 1)
-    state = F.struct(*_OVERDUE, "mais_antiga", "aberta_antes_campanha", mark.alias("mes_anterior_aberto"))
-    return each.groupBy(*SALE_KEY).agg(
-        *(F.max(F.when(whole, F.col(name))).alias(name) for name in (*_COUNTS, "valor_a_receber")),
-        F.map_from_entries(F.collect_list(F.when(~whole, F.struct("corte", state)))).alias("abertas"),
+    # The ranges stay as they are: a sale has fewer of them than cutoffs.
+    held = F.struct("de", "ate", *_OVERDUE, "mais_antiga", "aberta_antes_campanha", "_meses")
+    return ranges.groupBy(*SALE_KEY).agg(
+        *(F.sum(name).alias(name) for name in (*_COUNTS, "valor_a_receber")),
+        F.collect_list(F.when(F.col("de") < F.col("ate"), held)).alias("abertas"),
     )
 
 
+def _overdue(place: Column, kinds: T.StructType) -> dict[str, Column]:
+    """Marks and amounts of the ranges that hold at the cutoff of a place; null where none does."""
+    met = F.filter("abertas", lambda span: (span["de"] <= place) & (place < span["ate"]))
+    some = F.size(met) > 0
+
+    def total(name: str) -> Column:
+        kind = kinds[name].dataType
+        whole = F.aggregate(met, F.lit(0).cast(kind), lambda so_far, span: (so_far + span[name]).cast(kind))
+        return F.when(some, whole)
+
+    in_month = F.exists(met, lambda span: F.getbit(span["_meses"], place) == 1)
+    return {
+        **{name: total(name) for name in _OVERDUE},
+        "mais_antiga": F.array_min(F.transform(met, lambda span: span["mais_antiga"])),
+        "aberta_antes_campanha": F.array_max(F.transform(met, lambda span: span["aberta_antes_campanha"])),
+        "mes_anterior_aberto": F.when(in_month, 1),
+        "inadimplente": F.when(some, 1),
+    }
+
+
 # The row --------------------------------------------------------------------
 
 
@@ -201,7 +233,7 @@ def close_months_core(erp: Erp, portfolio: Portfolio, windows: Sequence[CloseWin
     sales = (
         B._sales(erp, portfolio)
         .where(~F.col("empresa").isin(*portfolio.excluded_companies))
-        .join(receipts_by_cutoff(erp.receipts, ceded, portfolio, windows), SALE_KEY, "left")
+        .join(receipt_steps(erp.receipts, ceded, portfolio, windows), SALE_KEY, "left")
         .where((F.col("status") == STATUS_LIVE) | (F.coalesce(F.size("recebimentos"), F.lit(0)) > 0))
         .join(ceded, SALE_KEY, "left")
         .join(C.cancellation_latest(erp.cancellations), SALE_KEY, "left")
@@ -216,13 +248,12 @@ def close_months_core(erp: Erp, portfolio: Portfolio, windows: Sequence[CloseWin
     ]
     each = sales.select("*", F.explode(F.array(*places)).alias("_em")).select("*", "_em.*")
     each = each.where(F.col("_distratada").isNull() | (F.col("_distratada") >= F.col("corte")))
-    each = each.withColumns(
-        {"_recebido": F.try_element_at("recebimentos", F.col("place")), "_aberto": F.try_element_at("abertas", F.col("place"))}
-    ).drop("recebimentos", "abertas")
-    state = each.select("*", "_recebido.*", "_aberto.*").withColumns(
+    kinds = sales.schema["abertas"].dataType.elementType
+    place = F.col("place")
+    found = each.withColumns({**_received(place), **_overdue(place, kinds)}).drop("recebimentos", "abertas")
+    state = found.withColumns(
         {
             "teve_recebimento": R.is_true(F.col("recebeu") == 1),
-            "inadimplente": F.when(F.col("_aberto").isNotNull(), 1),
             "dias_atraso": F.datediff("ultimo_dia", "mais_antiga").cast("long"),
         }
     )
