@@ -7,7 +7,6 @@ characters; a shorter line is one shingle. Signatures come from one hash per shi
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -43,14 +42,14 @@ CHARS = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-#: White space that is not one single space.
-_ODD_SPACE = re.compile(r"  |[^\S ]")
-
-
 def normal(line: str) -> str:
     """Lower case, single spaces, none at the ends. Empty for a line without visible characters."""
-    line = line.lower()
-    return " ".join(line.split()) if _ODD_SPACE.search(line) else line.strip(" ")
+    return " ".join(line.lower().split())
+
+
+def normal_lines(text: str | None) -> list[str]:
+    """``normal`` of each line; the text is put into lower case as a whole."""
+    return [" ".join(line.split()) for line in (text or "").lower().split("\n")]
 
 
 def line_id(line: str) -> int:
@@ -122,8 +121,8 @@ def _lines(shape: Banding, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         owner, number, ids, first = [], [], [], []
         distinct: dict[int, str] = {}
         for index, text in enumerate(batch.column(0).to_pylist()):
-            for n, line in enumerate((text or "").split("\n")):
-                if plain := normal(line):
+            for n, plain in enumerate(normal_lines(text)):
+                if plain:
                     ident = line_id(plain)
                     first.append(ident not in distinct)
                     if first[-1]:
@@ -162,8 +161,8 @@ def _wanted(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         lines: dict[int, str] = {}
         for text in batch.column(0).to_pylist():
-            for line in (text or "").split("\n"):
-                if plain := normal(line):
+            for plain in normal_lines(text):
+                if plain:
                     lines.setdefault(line_id(plain), plain)
         ids = np.fromiter(lines, dtype=np.int64, count=len(lines))
         maybe = shared.value(ids.view(np.uint64))
@@ -185,8 +184,8 @@ def similar(a: set[str], b: set[str], similarity: float) -> bool:
 
 #: Lines from which on a group is compared by counting. Both ways find the same components.
 MANY = 16
-#: Characters of groups whose shingles are hashed together.
-PIECE = 1 << 18
+#: Characters of groups whose shingles are hashed together; they stay in the processor's cache.
+PIECE = 1 << 16
 
 
 def _few(sets: list[set], similarity: float) -> list[tuple[int, int]]:
@@ -431,11 +430,12 @@ def report(df: DataFrame, key: str = "doc_id", text: str = "text", shape: Bandin
     )
     all_lines = F.split(F.coalesce("t", F.lit("")), "\n", -1)
     gone = F.coalesce("removed", F.array().cast("array<bigint>"))
-    kept = F.filter(all_lines, lambda _, n: ~F.array_contains(gone, n.cast("long")))
+    left = F.array_join(F.filter(all_lines, lambda _, n: ~F.array_contains(gone, n.cast("long"))), "\n")
+    kept = F.when(F.size(gone) == 0, F.coalesce("t", F.lit(""))).otherwise(left)  # most documents lose nothing
     return rows.join(lost, "id", "left").select(
         F.col("key").alias(key),
         F.size(all_lines).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
-        F.sha2(F.array_join(kept, "\n"), 256).alias("kept_sha256"),
+        F.sha2(kept, 256).alias("kept_sha256"),
         F.array_join(gone, ",").alias("removed"),
     )
