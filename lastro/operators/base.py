@@ -17,7 +17,7 @@ from lastro.operators import contracts as C
 from lastro.operators import eligibility as R
 from lastro.operators import ledger as L
 from lastro.params import INSTALMENT_TYPES, STATUS_CANCELLED, CloseWindow, LiveWindow, Portfolio
-from lastro.schemas import SALE_KEY
+from lastro.schemas import SALE_ORDER
 from lastro.sources.tables import Erp
 
 CORE_COLUMNS = [
@@ -53,7 +53,7 @@ def _sales(erp: Erp, portfolio: Portfolio) -> DataFrame:
 
 def _with_receipts(sales: DataFrame, receipts: DataFrame) -> DataFrame:
     """``recebeu`` is 1 where a receipt of the window counts."""
-    return sales.join(receipts, SALE_KEY, "left").withColumn("teve_recebimento", R.is_true(F.col("recebeu") == 1))
+    return sales.join(receipts, SALE_ORDER, "left").withColumn("teve_recebimento", R.is_true(F.col("recebeu") == 1))
 
 
 def _ledger_amounts() -> dict[str, Column]:
@@ -78,7 +78,7 @@ CLOSE_COLUMNS = [*CORE_COLUMNS, "distrato_apos_fechamento", *COUNT_COLUMNS, "val
 def _join_parts(members: DataFrame, parts: list[tuple[bool, Callable[[], DataFrame]]]) -> DataFrame:
     for needed, build in parts:
         if needed:
-            members = members.join(build(), SALE_KEY, "left")
+            members = members.join(build(), SALE_ORDER, "left")
     return members
 
 
@@ -110,7 +110,7 @@ def live_core(
         _sales(erp, portfolio),
         L.campaign_receipts(erp.receipts, ceded, portfolio, window.start, window.end, window.month_start),
         ceded,
-        C.effective_cancellations(erp.cancellations).select(*SALE_KEY).distinct(),
+        C.effective_cancellations(erp.cancellations).select(*SALE_ORDER).distinct(),
         L.open_by_instalment(erp.receivables, portfolio, window.as_of, window.start, month),
         lambda: L.valuation_by_instalment(erp.valuations, portfolio),
         lambda: C.cession_new_side(erp.history, portfolio),
@@ -130,8 +130,8 @@ def live_from_parts(
         return L.receivables_by_sale(parts.open_rows, parts.valuation(), portfolio, window.as_of)
 
     received = parts.receipts.withColumn("recebeu", F.lit(1))
-    candidates = _with_receipts(parts.sales, received).join(parts.ceded, SALE_KEY, "left")
-    members = C.keep_members(candidates, portfolio).join(parts.cancelled, SALE_KEY, "left_anti")
+    candidates = _with_receipts(parts.sales, received).join(parts.ceded, SALE_ORDER, "left")
+    members = C.keep_members(candidates, portfolio).join(parts.cancelled, SALE_ORDER, "left_anti")
     joined = _join_parts(
         members,
         [
@@ -166,8 +166,8 @@ def close_core(
 
     candidates = (
         _with_receipts(_sales(erp, portfolio), receipts)
-        .join(ceded, SALE_KEY, "left")
-        .join(C.cancellation_latest(erp.cancellations), SALE_KEY, "left")
+        .join(ceded, SALE_ORDER, "left")
+        .join(C.cancellation_latest(erp.cancellations), SALE_ORDER, "left")
     )
     gone = R.cancelled_after(window.cutoff)
     cancelled_with_money = (F.col("status") == STATUS_CANCELLED) & gone & F.col("teve_recebimento")
@@ -194,7 +194,7 @@ def close_core(
 def enrich(core: DataFrame, erp: Erp, portfolio: Portfolio) -> DataFrame:
     """Development, item, unit, product, client and phone of each member."""
     dimension = C.development_dimension(erp.developments, erp.companies, erp.groups, portfolio)
-    placed = core.join(C.item_per_sale(erp.items_live, erp.items_archived), SALE_KEY).join(dimension, ["empresa", "obra"])
+    placed = core.join(C.item_per_sale(erp.items_live, erp.items_archived), SALE_ORDER).join(dimension, ["empresa", "obra"])
     housed = C.with_product(C.with_unit(placed, erp.units, portfolio), erp.products)
     known = C.with_contact(housed, erp.people, erp.phones)
     core_columns = [c for c in core.columns if c not in ("cliente", "status")]
@@ -226,13 +226,13 @@ def close_full(erp: Erp, portfolio: Portfolio, window: CloseWindow) -> DataFrame
     joined = (
         C.ranked_sales(erp.sales_live, erp.sales_archived, portfolio)
         .where(~F.col("empresa").isin(*portfolio.excluded_companies))
-        .join(receipts, SALE_KEY, "left")
-        .join(L.open_at_cutoff(erp.receivables, erp.receipts, portfolio, window.cutoff), SALE_KEY, "left")
-        .join(L.due_before_paid_after(erp.receipts, portfolio, window.cutoff, "paga_depois"), SALE_KEY, "left")
-        .join(cancellation.withColumn("_distrato", F.lit(True)), SALE_KEY, "left")
-        .join(C.history_flags(erp.history, portfolio), SALE_KEY, "left")
-        .join(latest, SALE_KEY, "left")
-        .join(C.cession_new_side(erp.history, portfolio).select(*SALE_KEY, "venda_origem"), SALE_KEY, "left")
+        .join(receipts, SALE_ORDER, "left")
+        .join(L.open_at_cutoff(erp.receivables, erp.receipts, portfolio, window.cutoff), SALE_ORDER, "left")
+        .join(L.due_before_paid_after(erp.receipts, portfolio, window.cutoff, "paga_depois"), SALE_ORDER, "left")
+        .join(cancellation.withColumn("_distrato", F.lit(True)), SALE_ORDER, "left")
+        .join(C.history_flags(erp.history, portfolio), SALE_ORDER, "left")
+        .join(latest, SALE_ORDER, "left")
+        .join(C.cession_new_side(erp.history, portfolio).select(*SALE_ORDER, "venda_origem"), SALE_ORDER, "left")
     )
     late = R.is_true(F.col("aberta_no_corte") == 1) | R.is_true(F.col("paga_depois") == 1)
     cancelled = F.col("_distrato").isNotNull()

@@ -26,7 +26,7 @@ from lastro.operators import contracts as C
 from lastro.operators import eligibility as R
 from lastro.operators import ledger as L
 from lastro.params import INSTALMENT_TYPES, STATUS_CANCELLED, STATUS_LIVE, CloseWindow, Portfolio
-from lastro.schemas import INSTALMENT_KEY, SALE_KEY
+from lastro.schemas import INSTALMENT_ORDER, SALE_KEY, SALE_ORDER
 from lastro.sources.tables import Erp
 
 #: Cutoffs of one pass. Marks of a sale are bits of a long.
@@ -76,7 +76,7 @@ def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, w
     def total(amount: Column) -> Column:
         return F.sum(F.when(counted, amount))
 
-    daily = rows.groupBy(*SALE_KEY, "pago_em").agg(
+    daily = rows.groupBy(*SALE_ORDER, "pago_em").agg(
         F.max(F.when(counted, 1)).alias("contado"),
         total(F.col("cheio")).alias("valor_recebido"),
         total(F.col("base")).alias("valor_gera_cupom"),
@@ -88,7 +88,7 @@ def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, w
         F.min("vencimento").alias("venceu"),
         F.max(F.when(due < F.lit(start), 1)).alias("pagou_vencida_antes"),
     )
-    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_KEY, "left")
+    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_ORDER, "left")
     ends = _reached(paid, windows)
     counts = (F.col("contado") == 1) & (F.col("_corte").isNull() | (paid < F.col("_corte"))) & (ends < count)
     in_month = counts & (paid >= _at([window.month_start for window in windows], ends))
@@ -106,7 +106,7 @@ def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, w
     def told(value: Column, when: Column = counts) -> Column:
         return F.when(money & when, value)
 
-    steps = moved.groupBy(*SALE_KEY, F.col("evento.k").alias("k")).agg(
+    steps = moved.groupBy(*SALE_ORDER, F.col("evento.k").alias("k")).agg(
         F.max(told(F.lit(1))).alias("recebeu"),
         *(F.sum(told(F.col(name))).alias(name) for name in _SUMS),
         F.sum(told(F.col("valor_gera_cupom"), in_month)).alias("valor_cupom_mes"),
@@ -117,8 +117,8 @@ def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, w
         F.sum(F.when(F.col("evento.kind") == 1, 1).when(F.col("evento.kind") == 2, -1).otherwise(0)).alias("tardias"),
         F.max("pagou_vencida_antes").alias("pagou_vencida_antes"),
     )
-    so_far = Window.partitionBy(*SALE_KEY).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    following = Window.partitionBy(*SALE_KEY).orderBy("k")
+    so_far = Window.partitionBy(*SALE_ORDER).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    following = Window.partitionBy(*SALE_ORDER).orderBy("k")
     swept = steps.select(
         *SALE_KEY, "k", "pagou_vencida_antes", *_MONTH,
         *(F.sum(name).over(so_far).alias(name) for name in _SUMS),
@@ -127,7 +127,7 @@ def receipt_steps(receipts: DataFrame, ceded: DataFrame, portfolio: Portfolio, w
         F.lead("k", 1, count).over(following).alias("ate"),
     )
     state = F.struct("k", "ate", *_SUMS, *_LATEST, "paga_depois", *_MONTH)
-    return swept.groupBy(*SALE_KEY).agg(
+    return swept.groupBy(*SALE_ORDER).agg(
         F.collect_list(state).alias("recebimentos"), F.max("pagou_vencida_antes").alias("pagou_vencida_antes")
     )
 
@@ -170,10 +170,10 @@ def open_by_cutoff(
     start, count = windows[0].start, len(windows)
     due = F.col("vencimento")
     first_paid = (
-        C.in_universe(receipts, portfolio).where("pago_em is not null").groupBy(*INSTALMENT_KEY).agg(F.min("pago_em").alias("_pago"))
+        C.in_universe(receipts, portfolio).where("pago_em is not null").groupBy(*INSTALMENT_ORDER).agg(F.min("pago_em").alias("_pago"))
     )
-    rows = C.in_universe(receivables, portfolio).groupBy(*INSTALMENT_KEY, "vencimento").agg(F.count(F.lit(1)).alias("linhas"))
-    joined = rows.join(L.valuation_by_instalment(valuations, portfolio), INSTALMENT_KEY, "left").join(first_paid, INSTALMENT_KEY, "left")
+    rows = C.in_universe(receivables, portfolio).groupBy(*INSTALMENT_ORDER, "vencimento").agg(F.count(F.lit(1)).alias("linhas"))
+    joined = rows.join(L.valuation_by_instalment(valuations, portfolio), INSTALMENT_ORDER, "left").join(first_paid, INSTALMENT_ORDER, "left")
     not_fee = F.col("tipo") != portfolio.fee_type
     copies = F.col("linhas") * F.greatest(F.coalesce("avaliacoes", F.lit(0)), F.lit(1))
     begins = F.when(due.isNull(), count).otherwise(_reached(due, windows))
@@ -186,7 +186,7 @@ def open_by_cutoff(
     def amount(name: str) -> Column:
         return F.sum(F.when(not_fee, F.col("linhas") * F.coalesce(name, zero_amount())).otherwise(zero_amount()))
 
-    ranges = joined.groupBy(*SALE_KEY, begins.alias("de"), ends.alias("ate")).agg(
+    ranges = joined.groupBy(*SALE_ORDER, begins.alias("de"), ends.alias("ate")).agg(
         *(F.sum(F.when(F.col("tipo") == kind, copies).otherwise(F.lit(0))).alias(name) for kind, name in zip(INSTALMENT_TYPES, _COUNTS, strict=True)),
         F.sum(F.when(not_fee, F.col("linhas") * F.col("soma_parcela")).otherwise(zero_amount())).alias("valor_a_receber"),
         F.min("vencimento").alias("mais_antiga"),
@@ -196,7 +196,7 @@ def open_by_cutoff(
     )
     # The ranges stay as they are: a sale has fewer of them than cutoffs.
     held = F.struct("de", "ate", *_OVERDUE, "mais_antiga", "aberta_antes_campanha", "_meses")
-    return ranges.groupBy(*SALE_KEY).agg(
+    return ranges.groupBy(*SALE_ORDER).agg(
         *(F.sum(name).alias(name) for name in (*_COUNTS, "valor_a_receber")),
         F.collect_list(F.when(F.col("de") < F.col("ate"), held)).alias("abertas"),
     )
@@ -229,18 +229,18 @@ def close_months_core(erp: Erp, portfolio: Portfolio, windows: Sequence[CloseWin
     """``close_core`` of every window, its cutoff in ``corte``: members with amounts and rulings."""
     windows = _checked(windows)
     ceded = C.cession_old_side(erp.history, portfolio)
-    first_gone = C.effective_cancellations(erp.cancellations).groupBy(*SALE_KEY).agg(F.min(C.effective_day()).alias("_distratada"))
+    first_gone = C.effective_cancellations(erp.cancellations).groupBy(*SALE_ORDER).agg(F.min(C.effective_day()).alias("_distratada"))
     sales = (
         B._sales(erp, portfolio)
         .where(~F.col("empresa").isin(*portfolio.excluded_companies))
-        .join(receipt_steps(erp.receipts, ceded, portfolio, windows), SALE_KEY, "left")
+        .join(receipt_steps(erp.receipts, ceded, portfolio, windows), SALE_ORDER, "left")
         .where((F.col("status") == STATUS_LIVE) | (F.coalesce(F.size("recebimentos"), F.lit(0)) > 0))
-        .join(ceded, SALE_KEY, "left")
-        .join(C.cancellation_latest(erp.cancellations), SALE_KEY, "left")
-        .join(first_gone, SALE_KEY, "left")
-        .join(open_by_cutoff(erp.receivables, erp.receipts, erp.valuations, portfolio, windows), SALE_KEY, "left")
-        .join(C.cession_new_side(erp.history, portfolio), SALE_KEY, "left")
-        .join(C.legal_by_sale(erp.occurrences), SALE_KEY, "left")
+        .join(ceded, SALE_ORDER, "left")
+        .join(C.cancellation_latest(erp.cancellations), SALE_ORDER, "left")
+        .join(first_gone, SALE_ORDER, "left")
+        .join(open_by_cutoff(erp.receivables, erp.receipts, erp.valuations, portfolio, windows), SALE_ORDER, "left")
+        .join(C.cession_new_side(erp.history, portfolio), SALE_ORDER, "left")
+        .join(C.legal_by_sale(erp.occurrences), SALE_ORDER, "left")
     )
     places = [
         F.struct(F.lit(place).alias("place"), F.lit(window.cutoff).alias("corte"), F.lit(window.last_day).alias("ultimo_dia"))

@@ -23,7 +23,7 @@ from lastro.params import (
     UNIT_UNAVAILABLE,
     Portfolio,
 )
-from lastro.schemas import SALE_KEY
+from lastro.schemas import SALE_KEY, SALE_ORDER
 
 
 def in_universe(df: DataFrame, portfolio: Portfolio) -> DataFrame:
@@ -31,6 +31,11 @@ def in_universe(df: DataFrame, portfolio: Portfolio) -> DataFrame:
     return df.where(F.left("obra", F.lit(2)).isin(*portfolio.prefixes))
 
 
+def keyed(df: DataFrame, key: list[str] = SALE_KEY) -> DataFrame:
+    """The key in its published order, then the other columns."""
+    return df.select(*key, *(c for c in df.columns if c not in key))
+
+
 def first_per(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     """First row per key under a total order. Ranks are cut off before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
@@ -49,7 +54,7 @@ def _net_sales(df: DataFrame, portfolio: Portfolio) -> DataFrame:
 
 def archived_only(live: DataFrame, archived: DataFrame) -> DataFrame:
     """Archived sales that are not (still) in the live table."""
-    return archived.join(live.select(*SALE_KEY).distinct(), SALE_KEY, "left_anti")
+    return keyed(archived.join(live.select(*SALE_ORDER).distinct(), SALE_ORDER, "left_anti"))
 
 
 def all_sales(live: DataFrame, archived: DataFrame, portfolio: Portfolio) -> DataFrame:
@@ -67,7 +72,7 @@ def ranked_sales(live: DataFrame, archived: DataFrame, portfolio: Portfolio) ->
         for df, source, rank in ((live, "VENDAS", 1), (archived, "VENDAS RECEBIDAS", 2))
     ]
     both = tagged[0].unionByName(tagged[1])
-    return first_per(both, SALE_KEY, F.col("ordem"), F.col("status"), F.col("cliente")).drop("ordem")
+    return first_per(both, SALE_ORDER, F.col("ordem"), F.col("status"), F.col("cliente")).drop("ordem")
 
 
 # Development dimension ------------------------------------------------------
@@ -127,7 +132,7 @@ _ITEM_ORDER = ("produto", "unidade")
 
 def first_item(items: DataFrame) -> DataFrame:
     """One item per sale; the lowest product and unit, so reruns agree."""
-    picked = first_per(items, SALE_KEY, *(F.col(c).asc_nulls_last() for c in _ITEM_ORDER))
+    picked = first_per(items, SALE_ORDER, *(F.col(c).asc_nulls_last() for c in _ITEM_ORDER))
     return picked.select(*SALE_KEY, *_ITEM_ORDER)
 
 
@@ -135,7 +140,7 @@ def item_per_sale(live: DataFrame, archived: DataFrame) -> DataFrame:
     """The live item of a sale, else its archived one: one window over both tables."""
     tagged = live.withColumn("_fonte", F.lit(1)).unionByName(archived.withColumn("_fonte", F.lit(2)))
     order = [F.col("_fonte"), *(F.col(c).asc_nulls_last() for c in _ITEM_ORDER)]
-    return first_per(tagged, SALE_KEY, *order).select(*SALE_KEY, *_ITEM_ORDER)
+    return first_per(tagged, SALE_ORDER, *order).select(*SALE_KEY, *_ITEM_ORDER)
 
 
 def with_unit(df: DataFrame, units: DataFrame, portfolio: Portfolio) -> DataFrame:
@@ -259,25 +264,22 @@ def approved_cessions(history: DataFrame, portfolio: Portfolio) -> DataFrame:
 def cession_new_side(history: DataFrame, portfolio: Portfolio) -> DataFrame:
     """Per NEW sale the highest old number and, independently, the latest date."""
     named = approved_cessions(history, portfolio).where("num_nova is not null")
-    grouped = named.groupBy("empresa", "obra", "num_nova").agg(
+    grouped = named.groupBy("num_nova", "obra", "empresa").agg(
         F.max("num_venda").alias("venda_origem"), F.max("data_mnt").alias("data_cessao")
     )
-    return grouped.withColumnRenamed("num_nova", "num_venda")
+    return keyed(grouped.withColumnRenamed("num_nova", "num_venda"))
 
 
 def cession_old_side(history: DataFrame, portfolio: Portfolio) -> DataFrame:
     """Per OLD sale the highest new number and, independently, the latest date."""
-    return (
-        approved_cessions(history, portfolio)
-        .groupBy(*SALE_KEY)
-        .agg(F.max("num_nova").alias("venda_nova"), F.max("data_mnt").alias("data_cedida"))
-    )
+    ceded = approved_cessions(history, portfolio).groupBy(*SALE_ORDER)
+    return keyed(ceded.agg(F.max("num_nova").alias("venda_nova"), F.max("data_mnt").alias("data_cedida")))
 
 
 def cession_latest(history: DataFrame, portfolio: Portfolio) -> DataFrame:
     """Per OLD sale the whole latest cession (approval, then number)."""
     latest = first_per(
-        approved_cessions(history, portfolio), SALE_KEY, F.desc("data_aprovacao"), F.desc_nulls_last("num_hist")
+        approved_cessions(history, portfolio), SALE_ORDER, F.desc("data_aprovacao"), F.desc_nulls_last("num_hist")
     )
     return latest.select(
         *SALE_KEY, F.col("data_mnt").alias("data_cedida"), "data_aprovacao", F.col("num_nova").alias("venda_nova")
@@ -289,9 +291,9 @@ def history_flags(history: DataFrame, portfolio: Portfolio) -> DataFrame:
         approved = (F.col("tipo_mnt") == kind) & F.col("data_aprovacao").isNotNull()
         return F.max(F.when(approved, 1).otherwise(0))
 
-    return (
+    return keyed(
         in_universe(history, portfolio)
-        .groupBy(*SALE_KEY)
+        .groupBy(*SALE_ORDER)
         .agg(
             had(HISTORY_CANCELLATION).alias("teve_cancelamento"),
             had(HISTORY_RENEGOTIATION).alias("teve_renegociacao"),
@@ -306,7 +308,7 @@ def effective_cancellations(cancellations: DataFrame) -> DataFrame:
 
 def cancellation_latest(cancellations: DataFrame) -> DataFrame:
     order = F.desc_nulls_last("data_cad"), F.desc_nulls_last("num_distrato")
-    latest = first_per(effective_cancellations(cancellations), SALE_KEY, *order)
+    latest = first_per(effective_cancellations(cancellations), SALE_ORDER, *order)
     return latest.select(*SALE_KEY, "tipo_distrato", "categoria", "data_cad", "data_aprov")
 
 
@@ -335,13 +337,13 @@ def category_split(df: DataFrame, categories: DataFrame) -> DataFrame:
 
 def without_cancelled(df: DataFrame, cancellations: DataFrame) -> DataFrame:
     """Drop sales with any effective approved cancellation."""
-    return df.join(effective_cancellations(cancellations).select(*SALE_KEY).distinct(), SALE_KEY, "left_anti")
+    return keyed(df.join(effective_cancellations(cancellations).select(*SALE_ORDER).distinct(), SALE_ORDER, "left_anti"))
 
 
 def without_cancelled_before(df: DataFrame, cancellations: DataFrame, cutoff) -> DataFrame:
     """Drop sales cancelled before the cutoff; an undated cancellation does not count."""
     before = effective_cancellations(cancellations).where(effective_day() < F.lit(cutoff))
-    return df.join(before.select(*SALE_KEY).distinct(), SALE_KEY, "left_anti")
+    return keyed(df.join(before.select(*SALE_ORDER).distinct(), SALE_ORDER, "left_anti"))
 
 
 def keep_members(df: DataFrame, portfolio: Portfolio, *more: Column) -> DataFrame:

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastro.functions.money import base_amount, full_amount, zero_amount
-from lastro.operators.contracts import in_universe
+from lastro.operators.contracts import in_universe, keyed
 from lastro.params import INSTALMENT_TYPES, Portfolio
-from lastro.schemas import INSTALMENT_KEY, SALE_KEY
+from lastro.schemas import INSTALMENT_KEY, INSTALMENT_ORDER, SALE_KEY, SALE_ORDER
 
 # Open instalments -----------------------------------------------------------
 
@@ -40,43 +40,46 @@ def open_by_instalment(
     if month:
         inside = (F.col("tipo") != portfolio.fee_type) & (due >= F.lit(month[0])) & (due < F.lit(month[1]))
         marks = [F.max(F.when(inside, 1)).alias("mes_anterior")]
-    return (
+    return keyed(
         in_universe(receivables, portfolio)
-        .groupBy(*INSTALMENT_KEY)
+        .groupBy(*INSTALMENT_ORDER)
         .agg(
             F.count(F.lit(1)).alias("linhas"),
             F.count_if(overdue).alias("vencidas"),
             F.min(F.when(overdue, due)).alias("mais_antiga"),
             F.max(F.when(due < F.lit(campaign_start), 1)).alias("antes_campanha"),
             *marks,
-        )
+        ),
+        INSTALMENT_KEY,
     )
 
 
 def valuation_by_instalment(valuations: DataFrame, portfolio: Portfolio) -> DataFrame:
     """Valuation sums of each instalment key, with the number of rows behind them."""
     overdue = sum((F.coalesce(c, zero_amount()) for c in ("val_principal", "val_juros", "val_correcao")), zero_amount())
-    return (
+    return keyed(
         in_universe(valuations, portfolio)
-        .groupBy(*INSTALMENT_KEY)
+        .groupBy(*INSTALMENT_ORDER)
         .agg(
             F.count(F.lit(1)).alias("avaliacoes"),
             F.sum("val_parcela").alias("soma_parcela"),
             F.sum(overdue).alias("soma_vencido"),
             F.sum("val_juro_atraso").alias("soma_juros"),
             F.sum("val_multa_atraso").alias("soma_multa"),
-        )
+        ),
+        INSTALMENT_KEY,
     )
 
 
 def paid_before(receipts: DataFrame, portfolio: Portfolio, cutoff: date) -> DataFrame:
     """Instalment keys with a receipt dated before the cutoff."""
-    return in_universe(receipts, portfolio).where(F.col("pago_em") < F.lit(cutoff)).select(*INSTALMENT_KEY).distinct()
+    paid = in_universe(receipts, portfolio).where(F.col("pago_em") < F.lit(cutoff))
+    return keyed(paid.select(*INSTALMENT_ORDER).distinct(), INSTALMENT_KEY)
 
 
 def drop_paid(open_rows: DataFrame, paid: DataFrame) -> DataFrame:
     """Keep the counts of every instalment, but no overdue mark on the paid ones."""
-    marked = open_rows.join(paid.withColumn("_paga", F.lit(True)), INSTALMENT_KEY, "left")
+    marked = keyed(open_rows.join(paid.withColumn("_paga", F.lit(True)), INSTALMENT_ORDER, "left"), INSTALMENT_KEY)
     unpaid = F.col("_paga").isNull()
     marks = [c for c in ("mais_antiga", "antes_campanha", "mes_anterior") if c in open_rows.columns]
     return marked.withColumns(
@@ -89,7 +92,7 @@ def drop_paid(open_rows: DataFrame, paid: DataFrame) -> DataFrame:
 
 def overdue_by_sale(open_rows: DataFrame, reference_day: date) -> DataFrame:
     """Overdue marks only; needs no valuation."""
-    return open_rows.groupBy(*SALE_KEY).agg(*_overdue_marks(open_rows, reference_day))
+    return keyed(open_rows.groupBy(*SALE_ORDER).agg(*_overdue_marks(open_rows, reference_day)))
 
 
 def _overdue_marks(open_rows: DataFrame, reference_day: date) -> list[Column]:
@@ -102,6 +105,12 @@ def _overdue_marks(open_rows: DataFrame, reference_day: date) -> list[Column]:
     ]
 
 
+def _times(number: Column, amount: Column) -> Column:
+    """``number * amount``. Most numbers are 0 or 1; only the others pay for a product of wide decimals."""
+    once = F.when((number == 0) & amount.isNotNull(), zero_amount()).when(number == 1, amount)
+    return once.otherwise(number * amount)
+
+
 def receivables_by_sale(
     open_rows: DataFrame, valuation: DataFrame, portfolio: Portfolio, reference_day: date
 ) -> DataFrame:
@@ -111,25 +120,26 @@ def receivables_by_sale(
     its key. The repeats are not materialised: counts are multiplied by the
     number of valuations, sums by the number of open rows.
     """
-    joined = open_rows.join(valuation, INSTALMENT_KEY, "left")
+    joined = open_rows.join(valuation, INSTALMENT_ORDER, "left")
     copies = F.col("linhas") * F.greatest(F.coalesce("avaliacoes", F.lit(0)), F.lit(1))
     not_fee = F.col("tipo") != portfolio.fee_type
 
     def overdue_sum(name: str) -> Column:
-        amount = F.col("vencidas") * F.coalesce(name, zero_amount())
+        amount = _times(F.col("vencidas"), F.coalesce(name, zero_amount()))
         return F.sum(F.when(not_fee, amount).otherwise(zero_amount()))
 
-    return joined.groupBy(*SALE_KEY).agg(
+    totals = joined.groupBy(*SALE_ORDER).agg(
         *(
             F.sum(F.when(F.col("tipo") == kind, copies).otherwise(F.lit(0))).alias(f"qtd_{kind.lower()}")
             for kind in INSTALMENT_TYPES
         ),
-        F.sum(F.when(not_fee, F.col("linhas") * F.col("soma_parcela")).otherwise(zero_amount())).alias("valor_a_receber"),
+        F.sum(F.when(not_fee, _times(F.col("linhas"), F.col("soma_parcela"))).otherwise(zero_amount())).alias("valor_a_receber"),
         *_overdue_marks(open_rows, reference_day),
         overdue_sum("soma_vencido").alias("valor_inadimplente"),
         overdue_sum("soma_juros").alias("valor_juros_inadimplencia"),
         overdue_sum("soma_multa").alias("valor_multa_inadimplencia"),
     )
+    return keyed(totals)
 
 
 def open_in_month(receivables: DataFrame, portfolio: Portfolio, first: date, following: date) -> DataFrame:
@@ -142,7 +152,7 @@ def open_in_month(receivables: DataFrame, portfolio: Portfolio, first: date, fol
 
 def sales_of(df: DataFrame, mark: str) -> DataFrame:
     """Distinct sales of a frame, marked 1."""
-    return df.select(*SALE_KEY).distinct().withColumn(mark, F.lit(1))
+    return keyed(df.select(*SALE_ORDER).distinct()).withColumn(mark, F.lit(1))
 
 
 def previous_month_open(receivables: DataFrame, portfolio: Portfolio, first: date, following: date) -> DataFrame:
@@ -153,16 +163,16 @@ def previous_month_open_asof(
     receivables: DataFrame, receipts: DataFrame, portfolio: Portfolio, first: date, following: date, cutoff: date
 ) -> DataFrame:
     """The same, less the instalments paid before the cutoff."""
-    open_keys = open_in_month(receivables, portfolio, first, following).select(*INSTALMENT_KEY).distinct()
-    unpaid = open_keys.join(paid_before(receipts, portfolio, cutoff), INSTALMENT_KEY, "left_anti")
+    open_keys = open_in_month(receivables, portfolio, first, following).select(*INSTALMENT_ORDER).distinct()
+    unpaid = open_keys.join(paid_before(receipts, portfolio, cutoff), INSTALMENT_ORDER, "left_anti")
     return sales_of(unpaid, "mes_anterior_aberto")
 
 
 def open_at_cutoff(receivables: DataFrame, receipts: DataFrame, portfolio: Portfolio, cutoff: date) -> DataFrame:
     """Sales with an instalment due and unpaid before the cutoff (fees included)."""
     due = in_universe(receivables, portfolio).where(F.col("vencimento") < F.lit(cutoff))
-    unpaid = due.select(*INSTALMENT_KEY).distinct().join(
-        paid_before(receipts, portfolio, cutoff), INSTALMENT_KEY, "left_anti"
+    unpaid = due.select(*INSTALMENT_ORDER).distinct().join(
+        paid_before(receipts, portfolio, cutoff), INSTALMENT_ORDER, "left_anti"
     )
     return sales_of(unpaid, "aberta_no_corte")
 
@@ -189,7 +199,7 @@ def daily_receipts(window: DataFrame, campaign_start: date) -> DataFrame:
     amounts = window.withColumns({"cheio": full_amount(), "base": base_amount()})
     ahead = F.last_day("pago_em") < F.last_day("vencimento")
     late = F.col("pago_em") > F.col("vencimento")
-    return amounts.groupBy(*SALE_KEY, "pago_em").agg(
+    daily = amounts.groupBy(*SALE_ORDER, "pago_em").agg(
         F.sum("cheio").alias("cheio"),
         F.sum("base").alias("base"),
         F.max(F.when(F.col("vencimento") < F.lit(campaign_start), 1).otherwise(0)).alias("pagou_vencida_antes"),
@@ -198,18 +208,19 @@ def daily_receipts(window: DataFrame, campaign_start: date) -> DataFrame:
         F.max(F.when(late, 1).otherwise(0)).alias("recuperou"),
         F.sum(F.when(late, F.col("cheio")).otherwise(zero_amount())).alias("valor_recuperado"),
     )
+    return keyed(daily)
 
 
 def before_cession(daily: DataFrame, ceded: DataFrame) -> DataFrame:
     """Receipts of a ceded sale count only up to the day before it was ceded."""
-    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_KEY, "left")
-    return cut.where(F.col("_corte").isNull() | (F.col("pago_em") < F.col("_corte"))).drop("_corte")
+    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_ORDER, "left")
+    return keyed(cut.where(F.col("_corte").isNull() | (F.col("pago_em") < F.col("_corte"))).drop("_corte"))
 
 
 def receipts_by_sale(daily: DataFrame, month_start: date) -> DataFrame:
     """Totals of the window and of the month that starts on ``month_start``."""
     in_month = F.col("pago_em") >= F.lit(month_start)
-    return daily.groupBy(*SALE_KEY).agg(
+    totals = daily.groupBy(*SALE_ORDER).agg(
         F.sum("cheio").alias("valor_recebido"),
         F.sum("base").alias("valor_gera_cupom"),
         F.sum(F.when(in_month, F.col("base")).otherwise(zero_amount())).alias("valor_cupom_mes"),
@@ -221,6 +232,7 @@ def receipts_by_sale(daily: DataFrame, month_start: date) -> DataFrame:
         F.sum("valor_recuperado").alias("valor_recuperado"),
         F.max("pago_em").alias("ultimo_recebimento"),
     )
+    return keyed(totals)
 
 
 def campaign_receipts(
@@ -251,7 +263,7 @@ def close_window_receipts(
     def total(amount: Column) -> Column:
         return F.sum(F.when(counted, amount))
 
-    daily = rows.groupBy(*SALE_KEY, "pago_em").agg(
+    daily = rows.groupBy(*SALE_ORDER, "pago_em").agg(
         F.max(F.when(counted, 1)).alias("contado"),
         total(F.col("cheio")).alias("cheio"),
         total(F.col("base")).alias("base"),
@@ -262,7 +274,7 @@ def close_window_receipts(
         F.max(F.when(after, 1)).alias("paga_depois"),
         F.max(F.when(launch, 1)).alias("pagou_vencida_antes"),
     )
-    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_KEY, "left")
+    cut = daily.join(ceded.select(*SALE_KEY, F.col("data_cedida").alias("_corte")), SALE_ORDER, "left")
     counts = (F.col("contado") == 1) & (F.col("_corte").isNull() | (paid < F.col("_corte")))
     in_month = paid >= F.lit(month_start)
 
@@ -272,7 +284,7 @@ def close_window_receipts(
     def of_month(name: str) -> Column:
         return F.sum(within(F.when(in_month, F.col(name)).otherwise(zero_amount())))
 
-    return cut.groupBy(*SALE_KEY).agg(
+    totals = cut.groupBy(*SALE_ORDER).agg(
         F.max(within(F.lit(1))).alias("recebeu"),
         F.sum(within(F.col("cheio"))).alias("valor_recebido"),
         F.sum(within(F.col("base"))).alias("valor_gera_cupom"),
@@ -286,6 +298,7 @@ def close_window_receipts(
         F.max("paga_depois").alias("paga_depois"),
         F.max("pagou_vencida_antes").alias("pagou_vencida_antes"),
     )
+    return keyed(totals)
 
 
 def close_receipts(
@@ -294,9 +307,9 @@ def close_receipts(
     """Totals of the closed month, and whether one of its last days saw a payment."""
     daily = daily_receipts(receipts_in_window(receipts, portfolio, month_start, cutoff), month_start)
     recent = F.col("pago_em") >= F.date_sub(F.lit(cutoff), last_days)
-    return (
+    return keyed(
         before_cession(daily, ceded)
-        .groupBy(*SALE_KEY)
+        .groupBy(*SALE_ORDER)
         .agg(
             F.sum("base").alias("valor_gera_cupom"),
             F.sum("cheio").alias("valor_recebido"),

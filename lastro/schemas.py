@@ -6,6 +6,10 @@ from pyspark.sql import types as T
 
 SALE_KEY = ["empresa", "obra", "num_venda"]
 INSTALMENT_KEY = SALE_KEY + ["num_parcela", "num_parcela_geral", "tipo"]
+#: The same keys, to group and join by. Spark sorts by the first bytes of a key and compares whole rows only
+#: where these are equal, so the columns with the most values stand first.
+SALE_ORDER = ["num_venda", "empresa", "obra"]
+INSTALMENT_ORDER = SALE_ORDER + INSTALMENT_KEY[3:]
 GRAIN_KEY = SALE_KEY + ["cpf_titular", "mes_referencia"]
 
 MONEY = T.DecimalType(18, 4)
