@@ -2,16 +2,17 @@
 
 Pages of a host, sorted by path, stand next to pages made from the same template. The lines
 of a page and of its neighbour are aligned by longest common subsequence; a shared line is
-template and goes. Two things markup says outright are believed: lines inside ``article``
-or ``main`` are text, also where neighbours share them, and with such an element nothing
-outside it is; menus, footers, forms and the like are never text.
+template and goes. What markup says outright is believed: paragraphs, headings, lists and
+the like inside ``article`` or ``main`` are text, also where neighbours share them, and with
+such an element nothing outside it is; menus, footers, forms and the like are never text.
+Of boxes inside an article (``div``, ``section``) markup says neither, so differencing decides.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,6 +33,7 @@ BROADCAST_ROWS = 50_000
 
 # Markup, as HTML defines it.
 TEXT_ELEMENTS = frozenset("article main".split())
+PROSE_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th caption figcaption".split())
 RAW_ELEMENTS = frozenset("script style noscript template iframe svg canvas object title textarea".split())
 SIDE_ELEMENTS = frozenset("head nav footer aside form button select dialog menu header".split())
 BLOCK_ELEMENTS = frozenset(
@@ -56,8 +58,9 @@ TAG = re.compile(
 @dataclass
 class Line:
     text: str
-    sure: bool  # inside an element that says it is text
-    side: bool  # inside one that says it is not
+    sure: bool  # text of the article by its element
+    side: bool  # inside an element that says it is not
+    inside: bool = False  # in the article, be it in a box
 
 
 def lines(page: str | None) -> list[Line]:
@@ -65,6 +68,8 @@ def lines(page: str | None) -> list[Line]:
     out: list[Line] = []
     held: list[str] = []
     inside = 0  # open text elements
+    boxes: list[str] = []  # blocks open in the innermost one
+    outer: list[list[str]] = []  # and in those around it
     skipped, depth, skipped_inside = "", 0, 0  # the side element we are in, and how often it is open
 
     def end_block() -> None:
@@ -72,7 +77,9 @@ def lines(page: str | None) -> list[Line]:
         text = " ".join(html.unescape(raw).split()) if raw else ""
         held.clear()
         if text:
-            out.append(Line(text, inside > 0 and not skipped, bool(skipped)))
+            article = inside > 0 and not skipped
+            prose = not boxes or not PROSE_ELEMENTS.isdisjoint(boxes)
+            out.append(Line(text, article and prose, bool(skipped), article))
 
     page = page or ""
     at = 0
@@ -103,7 +110,11 @@ def lines(page: str | None) -> list[Line]:
         if name in TEXT_ELEMENTS and not (skipped and skipped_inside):
             end_block()
             inside = max(0, inside + (-1 if closes else 1))
-            if not closes:
+            if closes:
+                boxes = outer.pop() if outer else []
+            else:
+                outer.append(boxes)
+                boxes = []
                 skipped, depth = "", 0  # a side element left open ends where the text begins
             continue
         if skipped:
@@ -114,6 +125,9 @@ def lines(page: str | None) -> list[Line]:
                     skipped = ""
             continue
         if closes:
+            if name in boxes:
+                while boxes.pop() != name:
+                    pass
             continue
         side = name in SIDE_ELEMENTS and not (name == "header" and inside)
         if not side and "=" in attributes and name not in ("html", "body"):
@@ -121,29 +135,38 @@ def lines(page: str | None) -> list[Line]:
         if side:
             end_block()
             skipped, depth, skipped_inside = name, 1, inside
+        elif inside and name in BLOCK_ELEMENTS:
+            if boxes and boxes[-1] == "p":
+                boxes.pop()  # a block ends a paragraph left open
+            boxes.append(name)
     end_block()
     return out
 
 
-def _ids(found: list[Line]) -> list[int]:
-    """Hashes of the lines that markup does not call text."""
-    hashes = (xxhash.xxh3_64_intdigest(line.text.encode("utf-8", "surrogatepass")) for line in found if not line.sure)
+def _ids(found: Iterable[Line]) -> list[int]:
+    hashes = (xxhash.xxh3_64_intdigest(line.text.encode("utf-8", "surrogatepass")) for line in found)
     return [value - (1 << 64) if value >> 63 else value for value in hashes]
 
 
+def _judged(found: list[Line]) -> tuple[list[Line], list[int]]:
+    """The lines that markup does not call text, and the places of those only a neighbour can judge."""
+    unsure = [line for line in found if not line.sure]
+    article = any(line.inside for line in found)
+    return unsure, [n for n, line in enumerate(unsure) if (line.inside if article else not line.side)]
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of each page's unsure lines; ``open`` has the places of those only a neighbour can judge."""
+    """Ids of each page's unsure lines and of its article; ``open`` has the places only a neighbour can judge."""
     for batch in batches:
-        ids, opens = [], []
+        columns: tuple[list, list, list] = ([], [], [])
         for page in batch.column(0).to_pylist():
             found = lines(page)
-            ids.append(_ids(found))
-            unsure = [line for line in found if not line.sure]
-            judged = any(line.sure for line in found)
-            opens.append([] if judged else [n for n, line in enumerate(unsure) if not line.side])
-        kind = pa.list_(pa.int64())
-        names = [*batch.schema.names[1:], "ids", "open"]
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(ids, kind), pa.array(opens, kind)], names=names)
+            unsure, places = _judged(found)
+            for column, value in zip(columns, (_ids(unsure), _ids(x for x in found if x.inside), places), strict=True):
+                column.append(value)
+        arrays = [pa.array(column, pa.list_(pa.int64())) for column in columns]
+        names = [*batch.schema.names[1:], "ids", "article", "open"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], names=names)
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,16 +183,20 @@ def _alike(a: str, b: str) -> int:
     return next((i for i in range(size) if a[i] != b[i]), size)
 
 
+def _versions(page: dict, other: dict) -> bool:
+    """Whether two pages share most lines of an article: then shared lines are its text, not the template's."""
+    own = set(page["article"])
+    return 2 * len(own.intersection(other["article"])) > len(own)
+
+
 def _neighbour(pages: list[dict], number: int) -> dict | None:
-    """Of the next pages before and after, on the same host and not a copy, the one with the nearer path."""
+    """Of the pages before and after, on the same host and no version of the article, the one with the nearer path."""
     page, near = pages[number], []
-    for side in (range(number - 1, -1, -1), range(number + 1, len(pages))):
-        for other in side:
-            if pages[other]["host"] != page["host"]:
-                break
-            if pages[other]["ids"] != page["ids"]:
-                near.append(pages[other])
-                break
+    for place in (number - 1, number + 1):
+        if 0 <= place < len(pages):
+            other = pages[place]
+            if other["host"] == page["host"] and not _versions(page, other):
+                near.append(other)
     return max(near, key=lambda other: _alike(other["path"], page["path"]), default=None)
 
 
@@ -204,20 +231,22 @@ def shared_lines(rows: DataFrame) -> DataFrame:
     """``id, gone`` of pages with open lines to delete; ``rows`` has ``html, id, host, path``.
 
     Copies of a host are one row, at their first place, so the pages before and after it on
-    the host are its exact neighbours, wherever the blocks end.
+    the host are its exact neighbours, wherever the blocks end. A page before or after that
+    shares most lines of the article is a version of it and tells nothing.
     """
     read = rows.select("html", "id", "host", "path")
-    arrays = [T.StructField(name, T.ArrayType(T.LongType())) for name in ("ids", "open")]
+    arrays = [T.StructField(name, T.ArrayType(T.LongType())) for name in ("ids", "article", "open")]
     read = checkpoint(read.mapInArrow(_read, T.StructType([*read.drop("html").schema.fields, *arrays])))
     order = ("host", "path", "id")
-    pages = read.groupBy("id").agg(*(F.first(c).alias(c) for c in ("host", "path", "ids", "open")))
+    pages = read.groupBy("id").agg(*(F.first(c).alias(c) for c in ("host", "path", "ids", "article", "open")))
     pages = pages.where(F.size("ids") > 0).withColumns(
-        {"x": F.xxhash64("host", "ids"), "y": F.xxhash64("host", "ids", F.lit(1))}
+        {"x": F.xxhash64("host", "ids", "article"), "y": F.xxhash64("host", "ids", "article", F.lit(1))}
     )
     kinds = pages.groupBy("x", "y").agg(
-        F.first("host").alias("host"), F.first("ids").alias("ids"), F.min(F.struct("path", "id")).alias("low")
-    )
-    kinds = checkpoint(kinds.select("x", "y", "host", "ids", "low.path", "low.id"))
+        F.first("host").alias("host"), F.first("ids").alias("ids"), F.first("article").alias("article"),
+        F.min(F.struct("path", "id")).alias("low"),
+    )
+    kinds = checkpoint(kinds.select("x", "y", "host", "ids", "article", "low.path", "low.id"))
     keys = kinds.select(*order)
     sorted_ = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     numbers = checkpoint(sorted_.mapInArrow(_numbered, keys.schema.add("part", "long").add("at", "long")))
@@ -242,13 +271,10 @@ def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for page, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found, drop, unsure = lines(page), set(gone or ()), -1
-            judged = any(line.sure for line in found)
-            keep = []
-            for line in found:
-                unsure += not line.sure
-                if line.sure or not (judged or line.side or unsure in drop):
-                    keep.append(line.text)
+            found = lines(page)
+            unsure, places = _judged(found)
+            kept = {id(unsure[place]) for place in set(places).difference(gone or ())}
+            keep = [line.text for line in found if line.sure or id(line) in kept]
             texts.append("\n".join(keep))
         names = [*batch.schema.names[2:], "text"]
         yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(texts, pa.string())], names=names)
