@@ -16,6 +16,10 @@ in the second, each from nodes on that half a word leads to.
 
 A node whose subtree holds many words is met by many states: its edges are copied per salt,
 and states are dealt to the salts. Rounds are written as tables to the session's shared folder.
+
+No side of a join goes to the driver: Spark takes a table for as large as its file, and what
+is exploded of it, or read off words as prefixes, for hardly larger, so a vocabulary of a few
+megabytes would be broadcast as some hundred.
 """
 
 from __future__ import annotations
@@ -43,6 +47,11 @@ SALT_WORDS = 4096
 TIMES = 5
 
 
+def _merged(side: DataFrame) -> DataFrame:
+    """The side of a join that is to be sorted and merged, whatever its size is taken for."""
+    return side.hint("merge")
+
+
 def _damaged(doc: int | None, run: str, every: int) -> str:
     """The run, without one character where the checksum says so."""
     value = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
@@ -145,7 +154,7 @@ def _trie(words: DataFrame, salt_words: int) -> tuple[DataFrame, DataFrame]:
     kept = kept.select("node", F.ceil(F.col("words") / salt_words).cast("int").alias("salts"))
     # A path has as many nodes as the word has characters at most.
     paths = stored(
-        prefixes.drop("next").join(kept, "node").groupBy("id").agg(
+        prefixes.drop("next").join(_merged(kept), "node").groupBy("id").agg(
             F.max("walk").alias("walk"), F.first("back").alias("back"),
             F.array_sort(F.collect_list(F.struct("depth", "node", "salts"))).alias("path"),
         )
@@ -168,7 +177,7 @@ def _trie(words: DataFrame, salt_words: int) -> tuple[DataFrame, DataFrame]:
     start = paths.select("walk", "back", F.explode(open_nodes).alias("step")).select(
         "walk", "back", F.col("step.depth").alias("at"), F.col("step.node").alias("node"), F.col("step.salts").alias("salts")
     )
-    return stored(whole.join(follow, "child", "left")), start
+    return stored(whole.join(_merged(follow), "child", "left")), start
 
 
 def near_words(words: DataFrame, salt_words: int = SALT_WORDS) -> DataFrame:
@@ -199,7 +208,7 @@ def near_words(words: DataFrame, salt_words: int = SALT_WORDS) -> DataFrame:
         return states.select("walk", "back", "at", "node", F.expr("substring(walk, at + 1)").alias("rest"), salt.alias("salt"))
 
     # The edit, off the word's path: by a replacement, or by a character that the other word has more.
-    off = dealt(states).join(spread, ["node", "salt"]).where(F.col("first") != F.expr("left(rest, 1)"))
+    off = dealt(states).join(_merged(spread), ["node", "salt"]).where(F.col("first") != F.expr("left(rest, 1)"))
     tail = F.expr("substring(label, 2)")
     greater = (F.col("rest") != "") & (F.col("first") > F.expr("left(rest, 1)"))
     replaced = F.when(greater & F.startswith(F.expr("substring(rest, 2)"), tail), F.col("at") + size)
@@ -208,7 +217,7 @@ def near_words(words: DataFrame, salt_words: int = SALT_WORDS) -> DataFrame:
     moved = settled(off.select("walk", "back", "child", "ends", "salts", "follow", F.explode(places).alias("at")))
     pairs = moved.where("near is not null").select("back", "walk", "near")
     while not (states := moved.where("near is null")).isEmpty():
-        along = dealt(states).withColumn("first", F.expr("left(rest, 1)")).join(spread, ["node", "salt", "first"])
+        along = dealt(states).withColumn("first", F.expr("left(rest, 1)")).join(_merged(spread), ["node", "salt", "first"])
         along = along.where(F.startswith("rest", "label"))
         moved = settled(along.select("walk", "back", "child", "ends", "salts", "follow", (F.col("at") + size).alias("at")))
         pairs = pairs.unionAll(moved.where("near is not null").select("back", "walk", "near"))
@@ -226,7 +235,7 @@ def roots(forms: DataFrame) -> DataFrame:
     jumps = forms.select("word", F.col("form").alias("root"))
     while True:
         further = jumps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = stored(jumps.join(further, "root", "left"))
+        moved = stored(jumps.join(_merged(further), "root", "left"))
         jumps = moved.select("word", F.coalesce("next", "root").alias("root"))
         if moved.where(F.col("next").isNotNull()).isEmpty():
             return jumps
@@ -240,12 +249,12 @@ def group(words: DataFrame, times: int = TIMES) -> DataFrame:
     """
     words = stored(words)
     near = near_words(words)
-    told = near.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    told = near.join(_merged(words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))), "near")
     # The largest count and then the smallest word, without a window over a word's neighbours.
     best = told.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("word"))).alias("best")
     )
-    joined = words.join(best, "word", "left")
+    joined = words.join(_merged(best), "word", "left")
     formed = (-F.col("best.less") >= times * F.col("n"))
     chosen = stored(
         joined.select(
@@ -254,7 +263,7 @@ def group(words: DataFrame, times: int = TIMES) -> DataFrame:
         )
     )
     last = roots(chosen.where("form is not null"))
-    return chosen.join(last, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return chosen.join(_merged(last), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -96,3 +96,21 @@ def test_chains_of_forms_end_at_the_last(spark):
     rows = {r.word: r for r in spellings.group(spark.createDataFrame(words, "word string, n long")).collect()}
     assert {w: r.root for w, r in rows.items()} == {**dict.fromkeys(("aaaaaa", "aaaaab", "aaaabb", "aaabbb"), "aaabbb"), "aabbbb": "aabbbb"}
     assert rows["aaabbb"].form is None and rows["aaabbb"].n_near == 2
+
+
+def test_no_side_of_a_join_goes_to_the_driver(spark, monkeypatch):
+    """Files of a few KB are small to Spark, whatever is made of them."""
+    plans = []
+
+    def told(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    stored = spellings.stored
+    monkeypatch.setattr(spellings, "stored", told)
+    words = [(f"word{'ab' * (i % 3)}{i}", 1 + i % 7) for i in range(200)]
+    rows = spellings.group(spark.createDataFrame(words, "word string, n long"))
+    rows.count()
+    plans.append(rows._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 6
+    assert not any("Broadcast" in plan for plan in plans)
